@@ -156,8 +156,9 @@ def replicate(
         gone = sorted((set(affected) - set(reload)) & present)
     rows = 0
     if reload:
+        # pruned to the reloaded folders; a copy of partitioned files needs no shuffle
         chosen = live.filter(F.col(part).isin(reload))
-        rows = publish_partitions(chosen, target_path, part)
+        rows = publish_partitions(chosen, target_path, part, rebalance=False)
         verify_written(spark, target_path, live.schema, rows, reload, part)
     drop_partitions(spark, target_path, gone, part)
     record_state(spark, state_path, table, plan.target)

@@ -72,7 +72,8 @@ def entity_model(staged: DataFrame, entity: str, unique_input: bool = False) ->
 
 
 def entity_rankings(mart: DataFrame, entity: str, n: int = 20, when: str | None = None) -> DataFrame:
-    """Top entities by review volume. `when` picks one date; None ranks every (entity, date)."""
+    """Top entities by review volume. `when` picks one date of a stored mart; None ranks every
+    (entity, date)."""
     reviewed = as_of(mart, "partition_date", when).filter("total_reviews > 0")
     return top_ranked(reviewed, "total_reviews", [entity, "partition_date"], n).select(
         "rank", entity, "num_games", "total_reviews", "total_positive", "total_negative",

@@ -275,7 +275,7 @@ ORACLES: dict[str, str] = {
     ),
     "tier_retention": _catalog(
         """SELECT owners, lo, label, round(avg_playtime_hrs, 6) AS avg_playtime_hrs,
-             round(avg_2w_hrs, 6) AS avg_2w_hrs FROM ladder WHERE avg_2w_hrs > 2.0""",
+             round(avg_2w_hrs, 6) AS avg_2w_hrs FROM ladder WHERE avg_2w_hrs > 0.5""",
         _LADDER,
     ),
     "scatter_points": _catalog(
@@ -432,4 +432,9 @@ ORACLES: dict[str, str] = {
           days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
                    FROM daily)
         SELECT day, coalesce(n, 0) AS n_rows FROM days LEFT JOIN daily USING (day)""",
+    "incremental_marts": _catalog(_mart("developer"), _STAGED),
+    "stored_rankings": _catalog(
+        _TOP_GAMES.replace("total_reviews > 0", "total_reviews > 0 AND partition_date = "
+                           "(SELECT max(dt) FROM catalog_daily)"), _GAMES
+    ),
 }

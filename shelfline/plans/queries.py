@@ -15,7 +15,7 @@ from shelfline.operators.entities import entity_dimension, mart_for_entities
 from shelfline.operators.latest import last_written, latest_by, upsert
 from shelfline.operators.ranking import as_of
 from shelfline.operators.tokens import token_counts
-from shelfline.plans import catalog
+from shelfline.plans import build, catalog
 from shelfline.plans.testdata import (
     catalog_daily, commit_log, landing_path, published_catalog, snapshot_id,
 )
@@ -110,8 +110,9 @@ def publisher_rankings(spark, sf_dir):
 
 @query
 def developer_rankings_latest(spark, sf_dir):
-    mart = _mart(spark, sf_dir, "developer")
-    return catalog.entity_rankings(mart, "developer", when="latest")
+    """The date is part of the mart's grain, so it is chosen before the aggregation."""
+    newest = as_of(_staged(spark, sf_dir), "partition_date", "latest")
+    return catalog.entity_rankings(catalog.entity_model(newest, "developer", unique_input=True), "developer")
 
 
 @query
@@ -194,7 +195,7 @@ def tier_index(spark, sf_dir):
 
 @query
 def tier_retention(spark, sf_dir):
-    kept = catalog.tier_retention(catalog.tier_ladder(_staged(spark, sf_dir)), threshold=2.0)
+    kept = catalog.tier_retention(catalog.tier_ladder(_staged(spark, sf_dir)), threshold=0.5)
     columns = ["avg_playtime_hrs", "avg_2w_hrs"]
     return _rounded(kept.select("owners", "lo", "label", *columns), columns).orderBy("lo")
 
@@ -659,3 +660,33 @@ def date_spine(spark, sf_dir):
     """Daily count of large purchases; days without one stay in the result."""
     large = read_table(spark, sf_dir, "events").filter("event_type = 'purchase' AND value > 30")
     return modelling.spine_counts(large, "ts")
+
+
+# --- stored marts ------------------------------------------------------------------------------
+
+
+@query
+def incremental_marts(spark, sf_dir):
+    """Marts of an outdated catalogue, refreshed for the dates that changed, equal a full build."""
+    daily = catalog_daily(spark, sf_dir)
+    base = run_dir(spark, "marts")
+    silver, marts = f"{base}/silver", f"{base}/marts"
+    changed = ["1996-01-01", "1999-01-01"]
+    outdated = F.when(F.col("dt").isin(changed), 0).otherwise(F.col("positive")).cast("bigint")
+    doomed = daily.filter("dt = '1997-01-01'").withColumn("dt", F.lit("1900-01-01"))
+    sinks.publish_partitions(daily.withColumn("positive", outdated).unionByName(doomed), silver)
+    build.refresh_marts(spark, silver, daily, marts)
+
+    sinks.publish_partitions(daily.filter(F.col("dt").isin(changed)), silver)
+    replication.drop_partitions(spark, silver, ["1900-01-01"])
+    build.refresh_marts(spark, silver, daily, marts, dates=changed, gone=["1900-01-01"])
+    return build.read_mart(spark, marts, "developers", daily)
+
+
+@query
+def stored_rankings(spark, sf_dir):
+    """Top games of the newest date, from marts built over the published catalogue."""
+    silver, path = published_catalog(spark, sf_dir)
+    marts = run_dir(spark, "marts")
+    build.refresh_marts(spark, path, silver, marts)
+    return build.metric_models(spark, marts, silver, when="latest")["top_games_ranked"]

@@ -13,7 +13,7 @@ from shelfline.sources.files import list_partitions
 from shelfline.sources.sinks import (
     PageFiles, publish_partitions, verify_written, write_in_batches,
 )
-from shelfline.sources.tables import read_published
+from shelfline.sources.tables import partition_folders, read_published
 
 PAGE_PATTERN = r"page=(\d+)\.json"
 
@@ -39,13 +39,14 @@ ENTRY_SCHEMA = StructType([
 ])
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """payload, source_file, dt: one row per page file. A filter on dt prunes folders."""
+def read_landing(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """payload, source_file, dt: one row per page file. With `dates` only their folders are listed."""
     return (
         spark.read.format("text")
         .schema("value string, dt string")
         .option("wholetext", True)
-        .load(path)
+        .option("basePath", path)
+        .load(path if dates is None else partition_folders(path, dates))
         .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file"), "dt")
     )
 
@@ -113,8 +114,9 @@ def ingest_bronze(
     """Landing files of the given dates (default all) -> bronze partitions, counted after the write."""
     if dates is None:
         dates = list_partitions(spark, landing)
-    pages = read_landing(spark, landing).filter(F.col("dt").isin(dates))
-    written = publish_partitions(bronze_rows(pages, source, run_id), bronze)
+    pages = read_landing(spark, landing, dates)
+    # files arrive by date, so the documents need not be shuffled
+    written = publish_partitions(bronze_rows(pages, source, run_id), bronze, rebalance=False)
     verify_written(spark, bronze, BRONZE_SCHEMA, written, dates)
     return written
 
@@ -126,13 +128,14 @@ def build_silver(
     """Bronze partitions -> silver partitions. A date with missing or repeated pages is an error."""
     if dates is None:
         dates = list_partitions(spark, bronze)
-    rows = read_published(spark, bronze, BRONZE_SCHEMA).filter(F.col("dt").isin(dates))
+    rows = read_published(spark, bronze, BRONZE_SCHEMA, dates)
     if require_complete:
         gaps = [r["dt"] for r in page_gaps(rows).limit(10).collect()]
         if gaps:
             raise ValueError(f"incomplete landing dates: {gaps}")
     out = silver_rows(rows)
-    written = publish_partitions(out, silver, sort_by="appid")
+    # a single date leaves the de-duplication in well-sized tasks already
+    written = publish_partitions(out, silver, sort_by="appid", rebalance=len(dates) > 1)
     verify_written(spark, silver, out.schema, written, dates)
     return written
 

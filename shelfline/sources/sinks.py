@@ -13,25 +13,28 @@ from pyspark.sql.types import StructType
 from shelfline.sources.tables import read_published
 
 
-def _by_partition(df: DataFrame, part: str, sort_by: str | None) -> DataFrame:
+def _by_partition(df: DataFrame, part: str, sort_by: str | None, rebalance: bool) -> DataFrame:
     """Few well-sized files per partition value. REBALANCE lets AQE split a partition value that
     holds much of the data over several tasks, and merge small ones."""
-    out = df.hint("rebalance", F.col(part))
+    out = df.hint("rebalance", F.col(part)) if rebalance else df
     return out.sortWithinPartitions(part, sort_by) if sort_by else out
 
 
 def publish_partitions(
-    df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None
+    df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True
 ) -> int:
     """Replace exactly the partitions present in `df`; returns the rows written.
 
+    `rebalance` shuffles rows to their partition value. Turn it off when the input already comes
+    value by value (files of a partitioned table, a single date): the write is then shuffle-free.
+
     Re-running a publish gives the same table. Parquet offers no snapshot isolation: readers of
     a partition being replaced may see it change; use a catalog table format where that matters.
     """
     # Observed above the rebalance, in the writing stage: a shuffle stage that is run again after
     # an executor loss would count its rows twice.
     written = Observation()
-    counted = _by_partition(df, part, sort_by).observe(written, F.count(F.lit(1)).alias("n"))
+    counted = _by_partition(df, part, sort_by, rebalance).observe(written, F.count(F.lit(1)).alias("n"))
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -46,7 +49,7 @@ def publish_table(
 ) -> None:
     """Create the partitioned catalog table if absent, else replace the partitions in `df`."""
     spark = df.sparkSession
-    out = _by_partition(df.select(*[c for c in df.columns if c != part], part), part, None)
+    out = _by_partition(df.select(*[c for c in df.columns if c != part], part), part, None, True)
     if not spark.catalog.tableExists(table):
         creation = out.writeTo(table).using(provider).partitionedBy(F.col(part))
         (creation.option("path", location) if location else creation).create()
@@ -92,7 +95,7 @@ def verify_written(
     part: str = "dt",
 ) -> None:
     """Compare the published partitions with the row count of the write (footer reads only)."""
-    found = read_published(spark, path, schema, part).filter(F.col(part).isin(values)).count()
+    found = read_published(spark, path, schema, values, part).count() if values else 0
     if found != written:
         raise ValueError(f"{path}: wrote {written} rows, found {found}")
 

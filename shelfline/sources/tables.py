@@ -16,9 +16,20 @@ def partitioned_schema(schema: StructType, part: str = "dt") -> StructType:
     return StructType([*fields, StructField(part, StringType())])
 
 
-def read_published(spark: SparkSession, path: str, schema: StructType, part: str = "dt") -> DataFrame:
-    """A given schema spares the footer pass and keeps dt a string."""
-    return spark.read.schema(partitioned_schema(schema, part)).parquet(path)
+def partition_folders(path: str, values: list[str], part: str = "dt") -> list[str]:
+    return [f"{path}/{part}={value}" for value in values]
+
+
+def read_published(
+    spark: SparkSession, path: str, schema: StructType, values: list[str] | None = None,
+    part: str = "dt",
+) -> DataFrame:
+    """A given schema spares the footer pass and keeps dt a string. With `values` only those
+    partition folders are listed and read."""
+    reader = spark.read.schema(partitioned_schema(schema, part))
+    if values is None:
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(*partition_folders(path, values, part))
 
 
 def scan_glob(

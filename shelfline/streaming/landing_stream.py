@@ -16,10 +16,10 @@ def ingest_new_pages(
     The stream only says which dates changed. A date is then read whole, because replacing its
     partition with the new pages alone would lose the earlier ones. Replays are idempotent.
     """
+    # binaryFile reads no content unless it is selected
     new_files = (
-        spark.readStream.format("text")
-        .schema("value string, dt string")
-        .option("wholetext", True)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary, dt string")
         .load(landing)
         .select("dt")
     )
