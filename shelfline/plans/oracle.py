@@ -275,7 +275,7 @@ ORACLES: dict[str, str] = {
     ),
     "tier_retention": _catalog(
         """SELECT owners, lo, label, round(avg_playtime_hrs, 6) AS avg_playtime_hrs,
-             round(avg_2w_hrs, 6) AS avg_2w_hrs FROM ladder WHERE avg_2w_hrs > 0.5""",
+             round(avg_2w_hrs, 6) AS avg_2w_hrs FROM ladder WHERE avg_2w_hrs > 0.1""",
         _LADDER,
     ),
     "scatter_points": _catalog(

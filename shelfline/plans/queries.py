@@ -149,12 +149,13 @@ def title_words_letters(spark, sf_dir):
 
 @query
 def document_words(spark, sf_dir):
-    return token_counts(read_table(spark, sf_dir, "documents"), "text")
+    texts = read_table(spark, sf_dir, "documents").select("text")
+    return token_counts(tables.spread_scan(texts), "text")
 
 
 @query
 def word_cloud_200(spark, sf_dir):
-    return catalog.word_cloud(token_counts(read_table(spark, sf_dir, "documents"), "text"))
+    return catalog.word_cloud(document_words(spark, sf_dir))
 
 
 # --- tiers and reports -------------------------------------------------------------------------
@@ -195,7 +196,7 @@ def tier_index(spark, sf_dir):
 
 @query
 def tier_retention(spark, sf_dir):
-    kept = catalog.tier_retention(catalog.tier_ladder(_staged(spark, sf_dir)), threshold=0.5)
+    kept = catalog.tier_retention(catalog.tier_ladder(_staged(spark, sf_dir)), threshold=0.1)
     columns = ["avg_playtime_hrs", "avg_2w_hrs"]
     return _rounded(kept.select("owners", "lo", "label", *columns), columns).orderBy("lo")
 
@@ -297,7 +298,7 @@ REGISTRY["latest_partition"] = REGISTRY.pop("latest_partition_row")
 @query
 def publish_partitions(spark, sf_dir):
     """Everything published with a wrong ccu, then the newer half twice with the right one."""
-    daily = catalog_daily(spark, sf_dir)
+    daily, _ = published_catalog(spark, sf_dir)
     path = run_dir(spark, "publish")
     sinks.publish_partitions(daily.withColumn("ccu", F.lit(-1).cast("bigint")), path)
     newer = daily.filter("dt >= '1998-01-01'")
@@ -309,7 +310,7 @@ def publish_partitions(spark, sf_dir):
 @query
 def publish_table(spark, sf_dir):
     """The same through a catalog table: created when absent, then partitions replaced."""
-    daily = catalog_daily(spark, sf_dir).select("appid", "ccu", "dt")
+    daily = published_catalog(spark, sf_dir)[0].select("appid", "ccu", "dt")
     path = run_dir(spark, "table")
     name = "published_" + path.rsplit("-", 1)[1]
     sinks.publish_table(daily.withColumn("ccu", F.lit(-1).cast("bigint")), name, location=path)
@@ -328,7 +329,7 @@ def verify_counts(spark, sf_dir):
 @query
 def partition_sink(spark, sf_dir):
     """Rows handed to the batch sink, read back and compared with the sink's own counter."""
-    rows = catalog_daily(spark, sf_dir).select("appid", "positive", "negative", "dt")
+    rows = published_catalog(spark, sf_dir)[0].select("appid", "positive", "negative", "dt")
     path = run_dir(spark, "sink")
     written = sinks.write_in_batches(rows, sinks.JsonLines(path), batch_rows=1000)
     landed = spark.read.schema(rows.schema).json(path)
@@ -482,7 +483,7 @@ def _log(spark: SparkSession, commits: list[tuple[int, str, DataFrame, int]]):
 def replicate_table(spark, sf_dir):
     """Full load of an early state, then one incremental run over a rewrite, an append and a
     deletion. The target must equal the catalogue."""
-    daily = catalog_daily(spark, sf_dir).select("appid", "game_title", "positive", "negative", "dt")
+    daily = published_catalog(spark, sf_dir)[0].select("appid", "game_title", "positive", "negative", "dt")
     base = run_dir(spark, "replicate")
     source, target, state = f"{base}/source", f"{base}/target", f"{base}/state"
 
@@ -511,7 +512,7 @@ def replicate_table(spark, sf_dir):
 @query
 def changed_by_mtime(spark, sf_dir):
     """Partitions with files younger than the recorded state, after the newest was republished."""
-    daily = catalog_daily(spark, sf_dir).select("appid", "positive", "dt")
+    daily = published_catalog(spark, sf_dir)[0].select("appid", "positive", "dt")
     path = run_dir(spark, "mtime")
     sinks.publish_partitions(daily, path)
     table = read_published(spark, path, daily.schema)
@@ -668,7 +669,7 @@ def date_spine(spark, sf_dir):
 @query
 def incremental_marts(spark, sf_dir):
     """Marts of an outdated catalogue, refreshed for the dates that changed, equal a full build."""
-    daily = catalog_daily(spark, sf_dir)
+    daily, _ = published_catalog(spark, sf_dir)
     base = run_dir(spark, "marts")
     silver, marts = f"{base}/silver", f"{base}/marts"
     changed = ["1996-01-01", "1999-01-01"]

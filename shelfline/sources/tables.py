@@ -10,6 +10,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Rows of a plain scan over all cores, for row work much dearer than a shuffle (tokenising).
+
+    Only when the files give fewer tasks than there are cores, as one big unsplittable file does;
+    a scan of many splits passes through untouched. Use on scans, not on plans with a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def partitioned_schema(schema: StructType, part: str = "dt") -> StructType:
     """The schema of a published table: `part` last and always a string."""
     fields = [f for f in schema.fields if f.name != part]
