@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfline.functions.scoring import non_empty, percent_or_zero, total_reviews
 from shelfline.functions.text import entity_parts, restore_entity
-from shelfline.session import shared_dir
+from shelfline.session import run_dir
 
 
 def explode_entities(
@@ -67,11 +67,13 @@ def entity_dimension(df: DataFrame, entity: str, date_col: str, id_col: str) ->
     """Contiguous 0-based ids per date in name order, without a per-date single-task window.
 
     The distinct pairs are range-partitioned and sorted by (date, name), so a date that holds most
-    of the names still spreads over many tasks. The sorted rows are checkpointed once: partition
-    bounds are sampled, and ids must not move if an executor is lost and a stage runs again.
+    of the names still spreads over many tasks. The numbered rows are written to the shared folder
+    once: partition bounds are sampled, and ids must not move when a lost executor makes a stage run
+    again.
     """
-    shared_dir(df.sparkSession)
-    ordered = (
+    spark = df.sparkSession
+    path = run_dir(spark, f"numbered-{entity}")
+    numbered = (
         df.filter(non_empty(F.col(entity)))
         .select(date_col, entity)
         .distinct()
@@ -80,8 +82,9 @@ def entity_dimension(df: DataFrame, entity: str, date_col: str, id_col: str) ->
         # upper bits: partition, lower 33 bits: position in it
         .withColumn("_pos", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_pos", 33))
-        .checkpoint()
     )
+    numbered.write.parquet(path)
+    ordered = spark.read.schema(numbered.schema).parquet(path)
     # A partition is a contiguous range, so it holds the end of one date, whole dates and the
     # start of another: (partition, date) pairs number at most partitions + dates.
     runs = ordered.groupBy(date_col, "_part").agg(

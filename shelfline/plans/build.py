@@ -42,7 +42,7 @@ def refresh_marts(
 
 def read_mart(spark: SparkSession, marts_path: str, name: str, silver: DataFrame) -> DataFrame:
     schema = mart_models(catalog.stage(silver))[name].schema
-    return read_published(spark, f"{marts_path}/{name}", schema, part=DATE)
+    return read_published(spark, f"{marts_path}/{name}", schema, part=DATE).select(*schema.names)
 
 
 def metric_models(

@@ -51,13 +51,16 @@ def stage(silver: DataFrame, versioned: bool = False) -> DataFrame:
 
 
 def games_mart(staged: DataFrame) -> DataFrame:
-    """Staging columns without run_id, plus review total, approval and Wilson score."""
+    """Staging columns without run_id; review total, approval and Wilson score after the counts."""
     pos, neg = F.col("positive"), F.col("negative")
-    return staged.drop("run_id").withColumns({
-        "total_reviews": total_reviews(pos, neg),
-        "approval_pct": approval_pct(pos, neg),
-        "wilson_score": wilson_lower_bound(pos, neg),
-    })
+    scores = [
+        total_reviews(pos, neg).alias("total_reviews"),
+        approval_pct(pos, neg).alias("approval_pct"),
+        wilson_lower_bound(pos, neg).alias("wilson_score"),
+    ]
+    kept = [c for c in STAGING_COLUMNS.values() if c != "run_id"]
+    after = kept.index("negative") + 1
+    return staged.select(*kept[:after], *scores, *kept[after:])
 
 
 def exploded(staged: DataFrame, entity: str, mode: str = "loose", unique_input: bool = False) -> DataFrame:

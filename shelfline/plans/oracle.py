@@ -337,6 +337,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY key""",
     "json_map_explode": """SELECT event_id, key, json_extract_string(props, '$.' || key) AS value
         FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""",
+    "json_array_unnest": """SELECT event_id, user_id AS fact FROM events
+        UNION ALL SELECT event_id, length(event_type) FROM events""",
     "bronze_ingest": _catalog(
         """SELECT dt, page, 'catalog' AS source, 'run-1' AS run_id, count(*) AS n_entries, true AS dated
            FROM entries GROUP BY dt, page""",

@@ -364,6 +364,16 @@ def json_map_explode(spark, sf_dir):
     return tables.json_entries(read_table(spark, sf_dir, "events"), "props", ["event_id"])
 
 
+@query
+def json_array_unnest(spark, sf_dir):
+    """Event documents that carry an array, unnested to a row per element."""
+    documents = read_table(spark, sf_dir, "events").select(
+        "event_id",
+        F.to_json(F.struct(F.array("user_id", F.length("event_type")).alias("facts"))).alias("doc"),
+    )
+    return tables.json_elements(documents, "doc", "facts", "bigint", ["event_id"], "fact")
+
+
 # --- landing, bronze, silver -------------------------------------------------------------------
 
 

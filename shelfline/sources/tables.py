@@ -123,3 +123,11 @@ def json_entries(df: DataFrame, col: str, keep: list[str]) -> DataFrame:
     """Every key/value pair of a flat JSON object as a row; bad documents give none."""
     entries = F.from_json(col, "map<string,string>")
     return df.select(*keep, F.explode(entries).alias("key", "value"))
+
+
+def json_elements(
+    df: DataFrame, col: str, field: str, element: str, keep: list[str], name: str = "element"
+) -> DataFrame:
+    """Elements of an array inside a JSON document as rows, parsed with the given element type."""
+    parsed = F.from_json(col, f"struct<{field}: array<{element}>>").getField(field)
+    return df.select(*keep, F.explode(parsed).alias(name))
