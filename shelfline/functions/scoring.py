@@ -74,17 +74,17 @@ def price_bucket(price: Column) -> Column:
 
 
 def _range_bound(text: Column, index: int) -> Column:
-    bound = F.get(F.split(text, r" \.\. "), index)
+    bound = F.split_part(text, F.lit(" .. "), F.lit(index))
     return F.replace(bound, F.lit(","), F.lit("")).try_cast("bigint")
 
 
 def range_low(text: Column) -> Column:
     """`"20,000 .. 50,000"` -> 20000; null for text of another form."""
-    return _range_bound(text, 0)
+    return _range_bound(text, 1)
 
 
 def range_high(text: Column) -> Column:
-    return _range_bound(text, 1)
+    return _range_bound(text, 2)
 
 
 def _short_number(n: Column) -> Column:

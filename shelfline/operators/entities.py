@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfline.functions.scoring import non_empty, percent_or_zero, total_reviews
-from shelfline.functions.text import entity_parts, restore_entity
+from shelfline.functions.text import split_entities
 from shelfline.session import run_dir
 
 
@@ -18,13 +18,8 @@ def explode_entities(
     the kept columns identify a row (silver tables do by construction); then nothing is left to
     de-duplicate across rows and the operator needs no shuffle at all.
     """
-    parts = (
-        df.filter(non_empty(F.col(col)))
-        .select(*keep, F.explode(F.array_distinct(entity_parts(F.col(col), mode))).alias("_part"))
-        .withColumn(col, restore_entity(F.col("_part"), mode))
-        .filter(F.col(col) != "")
-    )
-    rows = parts.select(*keep, col)
+    names = F.array_distinct(split_entities(F.col(col), mode))
+    rows = df.filter(non_empty(F.col(col))).select(*keep, F.explode(names).alias(col))
     return rows if unique_input else rows.distinct()
 
 

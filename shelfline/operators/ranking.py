@@ -10,25 +10,18 @@ def _order(by: str, ties: list[str], ascending: bool = False) -> list[Column]:
     return [head, *[F.col(t).asc_nulls_last() for t in ties]]
 
 
-def top_n(
-    df: DataFrame, by: str, ties: list[str], n: int, ascending: bool = False, groups: int = 0
-) -> DataFrame:
-    """Plans as TakeOrderedAndProject: every task keeps n rows, and those meet in one task.
+# Tasks that may each hand n rows to the last one; about the cores of a large cluster.
+MAX_TASKS = 8192
+
+
+def top_n(df: DataFrame, by: str, ties: list[str], n: int, ascending: bool = False) -> DataFrame:
+    """Plans as TakeOrderedAndProject: every task keeps n rows in a heap, and those meet in one task.
 
-    With very many input tasks and a large n even those are too many for one task. `groups` then
-    adds a level: the survivors of each group of tasks are cut to n first (a WindowGroupLimit
-    before and after the exchange), so the last task sees groups x n rows. The result is the same.
+    A scan of a huge table has hundreds of thousands of tasks, too many even with n rows each.
+    `coalesce` lets a task take several splits (no shuffle, no effect below MAX_TASKS), which bounds
+    the last task's input by MAX_TASKS x n rows.
     """
-    order = _order(by, ties, ascending)
-    if groups:
-        window = Window.partitionBy("_group").orderBy(*order)
-        df = (
-            df.withColumn("_group", F.spark_partition_id() % groups)
-            .withColumn("_rn", F.row_number().over(window))
-            .filter(F.col("_rn") <= n)
-            .drop("_group", "_rn")
-        )
-    return df.orderBy(*order).limit(n)
+    return df.coalesce(MAX_TASKS).orderBy(*_order(by, ties, ascending)).limit(n)
 
 
 def top_ranked(
@@ -42,13 +35,10 @@ def top_ranked(
 
 def gated_ranking(
     df: DataFrame, gate_by: str, gate_n: int, rank_by: str, n: int, ties: list[str],
-    rank_col: str = "rank", groups: int = 64,
+    rank_col: str = "rank",
 ) -> DataFrame:
-    """The best `gate_n` rows by one measure form a pool, its best n by another are ranked.
-
-    The pool is wide and cut straight from a scan, so it is gathered in two levels.
-    """
-    pool = top_n(df, gate_by, ties, gate_n, groups=groups)
+    """The best `gate_n` rows by one measure form a pool, its best n by another are ranked."""
+    pool = top_n(df, gate_by, ties, gate_n)
     return top_ranked(pool, rank_by, ties, n, rank_col)
 
 

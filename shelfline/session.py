@@ -68,8 +68,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses, with its file system spelled out, so
+    that readers and writers outside Spark resolve it alike."""
+    sc = spark.sparkContext
+    base = sc._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    base = base.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(base).toString()
+    return f"{base}/{sc.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", partition: str | None = None) -> DataFrame:

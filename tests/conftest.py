@@ -27,8 +27,8 @@ def spark():
 
 @pytest.fixture
 def folder(spark):
-    """A path in the shared folder that no other test uses."""
-    return run_dir(spark, "test")
+    """A local path in the shared folder that no other test uses."""
+    return run_dir(spark, "test").removeprefix("file:")
 
 
 @pytest.fixture(scope="session")

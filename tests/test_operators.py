@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import modelling, quality
+from shelfline.operators import modelling, quality, ranking
 from shelfline.operators.entities import entity_dimension, entity_mart, mart_for_entities
 from shelfline.operators.latest import last_written, latest_by, upsert
 from shelfline.operators.ranking import as_of, gated_ranking, top_n, top_ranked
@@ -45,12 +45,13 @@ def test_upsert(spark):
     assert sorted((r.k, r.x) for r in merged.collect()) == [(1, "a"), (2, "BB"), (3, "c"), (9, "n")]
 
 
-@pytest.mark.parametrize("groups", [0, 1, 3, 64])
+@pytest.mark.parametrize("tasks", [1, 4, 8192])
 @pytest.mark.parametrize("n", [1, 7, 500, 10_000])
-def test_top_n_in_one_or_two_levels(spark, groups, n):
+def test_top_n_for_any_number_of_tasks(spark, monkeypatch, tasks, n):
+    monkeypatch.setattr(ranking, "MAX_TASKS", tasks)
     rows = [(i, v) for i, (_, v) in enumerate(skewed(3000))]
     df = spark.createDataFrame(rows, "i int, v int").repartition(9)
-    got = [(r.v, r.i) for r in top_n(df, "v", ["i"], n, groups=groups).collect()]
+    got = [(r.v, r.i) for r in top_n(df, "v", ["i"], n).collect()]
     assert got == [(v, i) for i, v in sorted(rows, key=lambda r: (-r[1], r[0]))[:n]]
 
 

@@ -87,6 +87,14 @@ def test_batch_sink(spark, folder):
     assert sinks.write_in_batches(df.limit(0), sinks.JsonLines(folder)) == 0
 
 
+@pytest.mark.parametrize("uri, plain", [
+    ("/a/b", "/a/b"), ("file:/a/b", "/a/b"), ("file:///a/b", "/a/b"), ("s3a://k/a", "s3://k/a"),
+    ("hdfs://n/a", "hdfs://n/a"),
+])
+def test_file_store_paths(uri, plain):
+    assert sinks.FileStore(uri).uri == plain
+
+
 def test_batch_sink_failure_reaches_the_caller(spark):
     def broken(task, batch, rows):
         raise OSError("sink is down")

@@ -22,6 +22,9 @@ GOLDEN = [
     ("a, co., ltd.x", ["a, co., ltd.x"], ["a, co.", "ltd.x"]),
     ("dev a, dev b, llc, dev c, co., ltd.", ["dev a", "dev b, llc", "dev c, co., ltd."],
      ["dev a", "dev b, llc", "dev c, co., ltd."]),
+    # the loose mark itself reads as a suffix comma
+    ("a|||,b|||c", ["a,", "b, c"], ["a|||", "b|||c"]),
+    ("|||", [","], ["|||"]),
     (None, [], []),
     ("", [], []),
     ("   ", [], []),
