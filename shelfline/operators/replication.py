@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from shelfline.operators.latest import latest_by
-from shelfline.sources.files import drop_partitions, list_partitions, path_exists
-from shelfline.sources.sinks import publish_partitions, verify_written
+from shelfline.sources.files import path_exists
+from shelfline.sources.sinks import PathTarget, TableTarget
 from shelfline.sources.tables import partition_list, partition_values
 
 ADDED, DELETED = 1, 2
@@ -126,42 +126,38 @@ class Outcome:
 
 
 def replicate(
-    spark: SparkSession, source: Callable[[int], DataFrame], target_path: str, state_path: str,
-    table: str, snapshots: DataFrame, entries: DataFrame, full_load: bool = False,
+    spark: SparkSession, source: Callable[[int], DataFrame], target: PathTarget | TableTarget,
+    state_path: str, table: str, snapshots: DataFrame, entries: DataFrame, full_load: bool = False,
     from_snapshot: int | None = None, part: str = "dt",
 ) -> Outcome:
     """Bring a published table up to the newest source snapshot.
 
     `source(snapshot_id)` returns the table as of that snapshot (an Iceberg reader passes the id
     on; a plain Parquet source can only return its present content). Order of effects: replace live
-    partitions, drop those gone upstream, verify, record state. A crash before the last step makes
-    the next run repeat the same work.
+    partitions and verify them, drop those gone upstream, record state. A crash before the last step
+    makes the next run repeat the same work.
     """
     last = last_replicated(read_state(spark, state_path), table)
     # Captured once: a commit that lands during the copy is left to the next run.
-    target = newest_snapshot_id(snapshots)
-    live = source(target)
+    snapshot = newest_snapshot_id(snapshots)
+    live = source(snapshot)
     plan = replication_plan(
-        snapshots, entries, live, last, full_load, from_snapshot, target, part
+        snapshots, entries, live, last, full_load, from_snapshot, snapshot, part
     )
     if plan.mode == "none":
         return Outcome("none", [], [], 0)
     # partition values only: bounded by the number of partitions
     affected = partition_values(plan.partitions, part)
-    present = set(list_partitions(spark, target_path, part))
+    present = target.partitions()
     if plan.mode == "full":
         reload, gone = affected, sorted(present - set(affected))
     else:
         reload = partition_values(live.filter(F.col(part).isin(affected)), part) if affected else []
         gone = sorted((set(affected) - set(reload)) & present)
-    rows = 0
-    if reload:
-        # pruned to the reloaded folders; a copy of partitioned files needs no shuffle
-        chosen = live.filter(F.col(part).isin(reload))
-        rows = publish_partitions(chosen, target_path, part, rebalance=False)
-        verify_written(spark, target_path, live.schema, rows, reload, part)
-    drop_partitions(spark, target_path, gone, part)
-    record_state(spark, state_path, table, plan.target)
+    # pruned to the reloaded folders
+    rows = target.replace(live.filter(F.col(part).isin(reload)), reload) if reload else 0
+    target.drop(gone)
+    record_state(spark, state_path, table, snapshot)
     return Outcome(plan.mode, reload, gone, rows)
 
 

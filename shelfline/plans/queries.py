@@ -21,7 +21,7 @@ from shelfline.plans.testdata import (
 )
 from shelfline.session import run_dir
 from shelfline.sources import sinks, tables
-from shelfline.sources.files import latest_partition
+from shelfline.sources.files import drop_partitions, latest_partition
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
 )
@@ -495,7 +495,8 @@ def replicate_table(spark, sf_dir):
     deletion. The target must equal the catalogue."""
     daily = published_catalog(spark, sf_dir)[0].select("appid", "game_title", "positive", "negative", "dt")
     base = run_dir(spark, "replicate")
-    source, target, state = f"{base}/source", f"{base}/target", f"{base}/state"
+    source, state = f"{base}/source", f"{base}/state"
+    target = sinks.PathTarget(spark, f"{base}/target")
 
     outdated = daily.filter("dt = '1996-01-01'").withColumn("positive", F.lit(-1).cast("bigint"))
     doomed = daily.filter("dt = '1997-01-01'").withColumn("dt", F.lit("1900-01-01"))
@@ -510,13 +511,13 @@ def replicate_table(spark, sf_dir):
 
     newer = daily.filter("dt IN ('1996-01-01', '1999-01-01')")
     sinks.publish_partitions(newer, source)
-    replication.drop_partitions(spark, source, ["1900-01-01"])
+    drop_partitions(spark, source, ["1900-01-01"])
     later = first + [
         (17, "2026-01-02", newer, replication.ADDED),
         (350, "2026-01-03", doomed, replication.DELETED),
     ]
     replication.replicate(spark, live, target, state, "catalog", *_log(spark, later))
-    return read_published(spark, target, daily.schema)
+    return read_published(spark, target.path, daily.schema)
 
 
 @query
@@ -689,7 +690,7 @@ def incremental_marts(spark, sf_dir):
     build.refresh_marts(spark, silver, daily, marts)
 
     sinks.publish_partitions(daily.filter(F.col("dt").isin(changed)), silver)
-    replication.drop_partitions(spark, silver, ["1900-01-01"])
+    drop_partitions(spark, silver, ["1900-01-01"])
     build.refresh_marts(spark, silver, daily, marts, dates=changed, gone=["1900-01-01"])
     return build.read_mart(spark, marts, "developers", daily)
 

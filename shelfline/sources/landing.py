@@ -117,7 +117,7 @@ def ingest_bronze(
     pages = read_landing(spark, landing, dates)
     # files arrive by date, so the documents need not be shuffled
     written = publish_partitions(bronze_rows(pages, source, run_id), bronze, rebalance=False)
-    verify_written(spark, bronze, BRONZE_SCHEMA, written, dates)
+    verify_written(read_published(spark, bronze, BRONZE_SCHEMA, dates), written, bronze)
     return written
 
 
@@ -136,7 +136,7 @@ def build_silver(
     out = silver_rows(rows)
     # a single date leaves the de-duplication in well-sized tasks already
     written = publish_partitions(out, silver, sort_by="appid", rebalance=len(dates) > 1)
-    verify_written(spark, silver, out.schema, written, dates)
+    verify_written(read_published(spark, silver, out.schema, dates), written, silver)
     return written
 
 

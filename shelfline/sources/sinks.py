@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import islice
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
-from shelfline.sources.tables import read_published
+from shelfline.sources.files import drop_partitions, list_partitions
+from shelfline.sources.tables import partition_values, read_published
 
 
 def _by_partition(df: DataFrame, part: str, sort_by: str | None, rebalance: bool) -> DataFrame:
@@ -20,6 +21,13 @@ def _by_partition(df: DataFrame, part: str, sort_by: str | None, rebalance: bool
     return out.sortWithinPartitions(part, sort_by) if sort_by else out
 
 
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Counts rows as they are written. Placed above any shuffle, in the writing stage: a shuffle
+    stage that is run again after an executor loss would count its rows twice."""
+    written = Observation()
+    return df.observe(written, F.count(F.lit(1)).alias("n")), written
+
+
 def publish_partitions(
     df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True
 ) -> int:
@@ -31,10 +39,7 @@ def publish_partitions(
     Re-running a publish gives the same table. Parquet offers no snapshot isolation: readers of
     a partition being replaced may see it change; use a catalog table format where that matters.
     """
-    # Observed above the rebalance, in the writing stage: a shuffle stage that is run again after
-    # an executor loss would count its rows twice.
-    written = Observation()
-    counted = _by_partition(df, part, sort_by, rebalance).observe(written, F.count(F.lit(1)).alias("n"))
+    counted, written = _observed(_by_partition(df, part, sort_by, rebalance))
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -45,11 +50,13 @@ def publish_partitions(
 
 
 def publish_table(
-    df: DataFrame, table: str, part: str = "dt", provider: str = "parquet", location: str | None = None
-) -> None:
+    df: DataFrame, table: str, part: str = "dt", provider: str = "parquet",
+    location: str | None = None, rebalance: bool = True,
+) -> int:
     """Create the partitioned catalog table if absent, else replace the partitions in `df`."""
     spark = df.sparkSession
-    out = _by_partition(df.select(*[c for c in df.columns if c != part], part), part, None, True)
+    columns = [c for c in df.columns if c != part]
+    out, written = _observed(_by_partition(df.select(*columns, part), part, None, rebalance))
     if not spark.catalog.tableExists(table):
         creation = out.writeTo(table).using(provider).partitionedBy(F.col(part))
         (creation.option("path", location) if location else creation).create()
@@ -65,6 +72,7 @@ def publish_table(
             spark.conf.set(mode, before)
     else:
         out.writeTo(table).overwritePartitions()
+    return written.get["n"]
 
 
 def partition_counts(df: DataFrame, part: str = "dt") -> DataFrame:
@@ -90,14 +98,64 @@ def verify_counts(expected: DataFrame, actual: DataFrame, part: str = "dt") -> N
         raise ValueError(f"row counts differ after write: {[r.asDict() for r in sample]}")
 
 
-def verify_written(
-    spark: SparkSession, path: str, schema: StructType, written: int, values: list[str],
-    part: str = "dt",
-) -> None:
-    """Compare the published partitions with the row count of the write (footer reads only)."""
-    found = read_published(spark, path, schema, values, part).count() if values else 0
+def verify_written(target: DataFrame, written: int, name: str) -> None:
+    """Compare the rows now in the published partitions with the count of the write. On Parquet
+    this reads file footers only."""
+    found = target.count()
     if found != written:
-        raise ValueError(f"{path}: wrote {written} rows, found {found}")
+        raise ValueError(f"{name}: wrote {written} rows, found {found}")
+
+
+@dataclass(frozen=True)
+class PathTarget:
+    """A published folder whose partitions are replaced and dropped as a whole."""
+
+    spark: SparkSession
+    path: str
+    part: str = "dt"
+
+    def partitions(self) -> set[str]:
+        return set(list_partitions(self.spark, self.path, self.part))
+
+    def replace(self, df: DataFrame, values: list[str]) -> int:
+        """Rows of exactly these partition values, as read from a table partitioned alike."""
+        written = publish_partitions(df, self.path, self.part, rebalance=False)
+        found = read_published(self.spark, self.path, df.schema, values, self.part)
+        verify_written(found, written, self.path)
+        return written
+
+    def drop(self, values: list[str]) -> None:
+        drop_partitions(self.spark, self.path, values, self.part)
+
+
+@dataclass(frozen=True)
+class TableTarget:
+    """The same for a partitioned catalog table, created by the first write."""
+
+    spark: SparkSession
+    table: str
+    provider: str = "parquet"
+    part: str = "dt"
+
+    def partitions(self) -> set[str]:
+        if not self.spark.catalog.tableExists(self.table):
+            return set()
+        return set(partition_values(self.spark.table(self.table), self.part))
+
+    def replace(self, df: DataFrame, values: list[str]) -> int:
+        written = publish_table(df, self.table, self.part, self.provider, rebalance=False)
+        found = self.spark.table(self.table).filter(F.col(self.part).isin(values))
+        verify_written(found, written, self.table)
+        return written
+
+    def drop(self, values: list[str]) -> None:
+        for value in values:
+            if self.provider == "parquet":
+                self.spark.sql(
+                    f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({self.part} = '{value}')"
+                )
+            else:
+                self.spark.sql(f"DELETE FROM {self.table} WHERE {self.part} = '{value}'")
 
 
 class FileStore:

@@ -9,6 +9,7 @@ from shelfline.operators.replication import ADDED, replicate
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, build_silver, entry_pages, ingest_bronze, silver_rows, write_pages,
 )
+from shelfline.sources.sinks import PathTarget
 from shelfline.sources.tables import partition_list, read_published
 
 
@@ -42,7 +43,7 @@ def test_landing_to_metrics(spark, folder):
         snapshots = spark.createDataFrame(log, "snapshot_id bigint, at string").select(
             "snapshot_id", F.to_timestamp("at").alias("committed_at"))
         return replicate(
-            spark, lambda _: silver(), paths["serving"], paths["state"], "games", snapshots,
+            spark, lambda _: silver(), PathTarget(spark, paths["serving"]), paths["state"], "games", snapshots,
             spark.createDataFrame(files, "status int, snapshot_id bigint, data_file struct<partition: struct<dt: string>>"),
         )
 

@@ -5,8 +5,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from shelfline.operators import replication as rep
-from shelfline.sources.files import drop_partitions, list_partitions
-from shelfline.sources.sinks import publish_partitions
+from shelfline.sources.files import drop_partitions
+from shelfline.sources.sinks import PathTarget, TableTarget, publish_partitions
 from shelfline.sources.tables import modified_partitions, read_published
 
 SCHEMA = "id int, v int, dt string"
@@ -48,8 +48,9 @@ class Source:
 
 
 class Replica:
-    def __init__(self, source, folder):
-        self.source, self.target, self.state = source, f"{folder}/target", f"{folder}/state"
+    def __init__(self, source, folder, target=None):
+        self.source, self.state = source, f"{folder}/state"
+        self.target = target or PathTarget(source.spark, f"{folder}/target")
 
     def run(self, read=None, **kw):
         s = self.source
@@ -58,8 +59,11 @@ class Replica:
         )
 
     def rows(self):
-        schema = self.source.spark.createDataFrame([], SCHEMA).schema
-        return sorted(tuple(r) for r in read_published(self.source.spark, self.target, schema).collect())
+        spark = self.source.spark
+        if isinstance(self.target, TableTarget):
+            return sorted(tuple(r) for r in spark.table(self.target.table).collect())
+        schema = spark.createDataFrame([], SCHEMA).schema
+        return sorted(tuple(r) for r in read_published(spark, self.target.path, schema).collect())
 
     def in_step(self):
         return self.rows() == sorted(tuple(r) for r in self.source.read().collect())
@@ -68,11 +72,12 @@ class Replica:
         return rep.last_replicated(rep.read_state(self.source.spark, self.state), "t")
 
 
-@pytest.fixture
-def pair(spark, folder):
+@pytest.fixture(params=["path", "table"])
+def pair(request, spark, folder):
     source = Source(spark, folder)
     source.write(500, [(1, 1, "d1"), (2, 1, "d1"), (1, 1, "d2")])
-    return source, Replica(source, folder)
+    table = TableTarget(spark, "replica_" + folder.rsplit("-", 1)[1])
+    return source, Replica(source, folder, table if request.param == "table" else None)
 
 
 def test_no_state_then_up_to_date(pair):
@@ -160,7 +165,7 @@ def test_full_load_clears_stale_target_partitions(pair):
     replica.run()
     source.drop(1, ["d1"])
     outcome = replica.run(full_load=True)
-    assert outcome.cleared == ["d1"] and list_partitions(source.spark, replica.target) == ["d2"]
+    assert outcome.cleared == ["d1"] and replica.target.partitions() == {"d2"}
 
 
 def test_no_snapshots_is_an_error(spark):

@@ -60,17 +60,17 @@ def test_verify(spark, folder):
     report = {r.dt: (r.expected_rows, r.actual_rows) for r in sinks.count_report(df, frame(spark, {"b": 3, "c": 1})).collect()}
     assert report == {"a": (5, 0), "b": (3, 3), "c": (0, 1)}
     sinks.publish_partitions(df, folder)
-    sinks.verify_written(spark, folder, df.schema, 8, ["a", "b"])
-    with pytest.raises(ValueError, match="wrote 7 rows, found 5"):
-        sinks.verify_written(spark, folder, df.schema, 7, ["a"])
+    sinks.verify_written(read_published(spark, folder, df.schema), 8, "t")
+    with pytest.raises(ValueError, match="t: wrote 7 rows, found 5"):
+        sinks.verify_written(read_published(spark, folder, df.schema, ["a"]), 7, "t")
 
 
 def test_publish_table_creates_then_overwrites(spark, folder):
     name = "t" + folder.rsplit("-", 1)[1]
     df = frame(spark, {"2026-01-01": 2, "2026-01-02": 3})
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    sinks.publish_table(df, name, location=folder)
-    sinks.publish_table(frame(spark, {"2026-01-02": 1}), name)
+    assert sinks.publish_table(df, name, location=folder) == 5
+    assert sinks.publish_table(frame(spark, {"2026-01-02": 1}), name) == 1
     assert counts(spark.table(name)) == {"2026-01-01": 2, "2026-01-02": 1}
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
