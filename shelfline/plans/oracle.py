@@ -434,6 +434,7 @@ ORACLES: dict[str, str] = {
           days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
                    FROM daily)
         SELECT day, coalesce(n, 0) AS n_rows FROM days LEFT JOIN daily USING (day)""",
+    "landing_to_rankings": _catalog(_ranked("developer"), _STAGED),
     "incremental_marts": _catalog(_mart("developer"), _STAGED),
     "stored_rankings": _catalog(
         _TOP_GAMES.replace("total_reviews > 0", "total_reviews > 0 AND partition_date = "

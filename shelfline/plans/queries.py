@@ -702,3 +702,22 @@ def stored_rankings(spark, sf_dir):
     marts = run_dir(spark, "marts")
     build.refresh_marts(spark, path, silver, marts)
     return build.metric_models(spark, marts, silver, when="latest")["top_games_ranked"]
+
+
+@query
+def landing_to_rankings(spark, sf_dir):
+    """The whole chain: landing, bronze, silver, serving copy, stored marts, developer ranking."""
+    base = run_dir(spark, "chain")
+    bronze, silver_path, marts = f"{base}/bronze", f"{base}/silver", f"{base}/marts"
+    serving = sinks.PathTarget(spark, f"{base}/serving")
+    ingest_bronze(spark, landing_path(spark, sf_dir), bronze, "catalog", "run-1")
+    build_silver(spark, bronze, silver_path)
+    schema = silver_rows(read_published(spark, bronze, BRONZE_SCHEMA)).schema
+    silver = read_published(spark, silver_path, schema)
+    log = _log(spark, [(1, "2026-01-01", silver, replication.ADDED)])
+    done = replication.replicate(
+        spark, lambda _: silver, serving, f"{base}/state", "catalog", *log
+    )
+    served = read_published(spark, serving.path, schema)
+    build.refresh_marts(spark, serving.path, served, marts, done.reloaded, done.cleared)
+    return build.metric_models(spark, marts, served)["developer_rankings"]

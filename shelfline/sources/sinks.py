@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfline.sources.files import drop_partitions, list_partitions
@@ -158,6 +159,10 @@ class TableTarget:
                 self.spark.sql(f"DELETE FROM {self.table} WHERE {self.part} = '{value}'")
 
 
+# Sinks travel to the executors by value: this package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class FileStore:
     """Connection target on any file system pyarrow can reach from the executors."""
 

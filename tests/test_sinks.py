@@ -1,5 +1,8 @@
 import glob
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +98,21 @@ def test_file_store_paths(uri, plain):
     assert sinks.FileStore(uri).uri == plain
 
 
+def test_batch_sink_without_the_package_on_the_executors(tmp_path):
+    """Only the driver knows where the package is."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from shelfline.session import get_spark
+from shelfline.sources import sinks
+spark = get_spark("elsewhere", master="local[2]", conf={{"spark.ui.enabled": "false"}})
+assert sinks.write_in_batches(spark.range(10), sinks.JsonLines({str(tmp_path / "out")!r})) == 10
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, check=True, timeout=120)
+    assert sum(len(open(f).readlines()) for f in glob.glob(f"{tmp_path}/out/*.json")) == 10
+
+
 def test_batch_sink_failure_reaches_the_caller(spark):
     def broken(task, batch, rows):
         raise OSError("sink is down")
