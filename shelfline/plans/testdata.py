@@ -95,16 +95,20 @@ def published_catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]
 
 def landing_entries(daily: DataFrame) -> DataFrame:
     """Catalogue rows with their page. Every entry also appears, outdated, one page earlier."""
-    entry = daily.select(
-        "appid", F.upper("game_title").alias("name"), "developer", "publisher", "score_rank",
-        "positive", "negative", "userscore", "owners", "average_forever", "average_2weeks",
-        "median_forever", "median_2weeks", "ccu", "price", "initialprice", "discount", "dt",
-        F.floor(F.col("appid") / PAGE_ENTRIES).cast("int").alias("page"),
+    page = F.floor(F.col("appid") / PAGE_ENTRIES).cast("int")
+    current = F.struct(page.alias("page"), F.lit(False).alias("outdated"))
+    earlier = F.struct((page - 1).alias("page"), F.lit(True).alias("outdated"))
+    copies = F.when(page > 0, F.array(current, earlier)).otherwise(F.array(current))
+    placed = daily.withColumn("copy", F.explode(copies))
+    outdated = F.col("copy.outdated")
+    return placed.select(
+        "appid",
+        F.when(outdated, "outdated").otherwise(F.upper("game_title")).alias("name"),
+        "developer", "publisher", "score_rank",
+        F.when(outdated, 0).otherwise(F.col("positive")).alias("positive"),
+        "negative", "userscore", "owners", "average_forever", "average_2weeks", "median_forever",
+        "median_2weeks", "ccu", "price", "initialprice", "discount", "dt", "copy.page",
     )
-    outdated = entry.filter("page > 0").withColumns({
-        "page": F.col("page") - 1, "name": F.lit("outdated"), "positive": F.lit(0).cast("bigint"),
-    })
-    return entry.unionByName(outdated)
 
 
 def landing_path(spark: SparkSession, sf_dir: str) -> str:
