@@ -20,8 +20,7 @@ from shelfline.plans.testdata import (
     catalog_daily, commit_log, landing_path, published_catalog, snapshot_id,
 )
 from shelfline.session import run_dir
-from shelfline.sources import sinks, tables
-from shelfline.sources.files import drop_partitions, latest_partition
+from shelfline.sources import files, sinks, tables
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
 )
@@ -143,8 +142,8 @@ def title_words(spark, sf_dir):
 
 @query
 def title_words_letters(spark, sf_dir):
-    publishers = _staged(spark, sf_dir).select(F.col("publisher").alias("game_title"))
-    return catalog.title_words(publishers, letters_only=True)
+    """Words of publisher names, whose digits separate here instead of staying."""
+    return token_counts(_staged(spark, sf_dir), "publisher", letters_only=True)
 
 
 @query
@@ -259,7 +258,7 @@ SCANNED = ["appid", "game_title", "positive", "negative", "dt"]
 @query
 def scan_partition(spark, sf_dir):
     silver, path = published_catalog(spark, sf_dir)
-    return tables.scan_partitions(silver, latest_partition(spark, path)).select(*SCANNED)
+    return tables.scan_partitions(silver, files.latest_partition(spark, path)).select(*SCANNED)
 
 
 @query
@@ -288,13 +287,10 @@ def partition_list(spark, sf_dir):
 
 
 @query
-def latest_partition_row(spark, sf_dir):
+def latest_partition(spark, sf_dir):
     return tables.latest_partition_row(published_catalog(spark, sf_dir)[0])
 
 
-REGISTRY["latest_partition"] = REGISTRY.pop("latest_partition_row")
-
-
 @query
 def publish_partitions(spark, sf_dir):
     """Everything published with a wrong ccu, then the newer half twice with the right one."""
@@ -511,7 +507,7 @@ def replicate_table(spark, sf_dir):
 
     newer = daily.filter("dt IN ('1996-01-01', '1999-01-01')")
     sinks.publish_partitions(newer, source)
-    drop_partitions(spark, source, ["1900-01-01"])
+    files.drop_partitions(spark, source, ["1900-01-01"])
     later = first + [
         (17, "2026-01-02", newer, replication.ADDED),
         (350, "2026-01-03", doomed, replication.DELETED),
@@ -690,7 +686,7 @@ def incremental_marts(spark, sf_dir):
     build.refresh_marts(spark, silver, daily, marts)
 
     sinks.publish_partitions(daily.filter(F.col("dt").isin(changed)), silver)
-    drop_partitions(spark, silver, ["1900-01-01"])
+    files.drop_partitions(spark, silver, ["1900-01-01"])
     build.refresh_marts(spark, silver, daily, marts, dates=changed, gone=["1900-01-01"])
     return build.read_mart(spark, marts, "developers", daily)
 
