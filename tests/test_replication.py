@@ -1,5 +1,6 @@
 """Replication sequences: each must leave the target equal to the source."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -213,3 +214,26 @@ def test_tables_run_in_order_and_retry():
     with pytest.raises(RuntimeError, match="b"):
         rep.replicate_tables({"b": broken, "c": fine})
     assert calls == ["a", "a", "c", "b", "b", "c"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_histories_end_in_step(spark, folder, seed):
+    """Whatever commits happen between runs, an incremental run equals a full load."""
+    rng = random.Random(seed)
+    source = Source(spark, folder)
+    source.write(rng.randrange(10**6), [(0, 0, "d0"), (0, 0, "d1")])
+    replica = Replica(source, folder)
+    for step in range(4):
+        for _ in range(rng.randrange(3)):
+            dates = [f"d{rng.randrange(5)}" for _ in range(rng.randrange(1, 3))]
+            snapshot = rng.randrange(10**6, 10**9)
+            existing = [r.dt for r in source.read().select("dt").distinct().collect()]
+            if rng.random() < 0.3 and len(existing) > 1:
+                source.drop(snapshot, [rng.choice(existing)])
+            else:
+                source.write(snapshot, [(i, step, dt) for dt in dates for i in range(rng.randrange(1, 4))])
+        replica.run()
+        assert replica.in_step() and replica.last() == source.log[-1][0]
+    full = Replica(source, folder + "-full")
+    full.run(full_load=True)
+    assert full.rows() == replica.rows()
