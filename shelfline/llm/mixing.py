@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfline.llm.frames import let, running_total, words_of
+from shelfline.llm.frames import let, running_total, stored, words_of
 
 BLOCK = 128
 SHARD = 4096
@@ -35,18 +35,19 @@ def scramble(value: Column) -> Column:
     return x * x % PRIME
 
 
-def permuted(index: Column, n: Column, key: Column) -> Column:
-    """The place of `index` under a permutation of 0 .. n - 1 chosen by `key`: in each round, an index
-    and its mirror image about a round key change places or not, by a bit that both share."""
-    rounds = F.sequence(F.lit(1), F.lit(ROUNDS)).cast("array<bigint>")
+def permuted(df: DataFrame, index: str, n: str, key: str, out: str) -> DataFrame:
+    """Adds the place of `index` under a permutation of 0 .. n - 1 chosen by `key`: in each round, an
+    index and its mirror image about a round key change places or not, by a bit that both share.
 
-    def step(x: Column, r: Column) -> Column:
-        turn = (key * 69621 + r * 48271) * 16807 % PRIME
-        other = F.pmod(turn * turn - x, n)
-        bit = F.shiftright(scramble(F.greatest(x, other) + turn), 9) % 2
-        return F.when(bit == 1, other).otherwise(x)
-
-    return F.aggregate(rounds, index.cast("bigint"), step)
+    A round is two projections, so that generated code computes each value once.
+    """
+    df = df.withColumn(out, F.col(index).cast("bigint"))
+    for r in range(1, ROUNDS + 1):
+        df = df.withColumn("_turn", (F.col(key).cast("bigint") * 69621 + r * 48271) * 16807 % PRIME)
+        df = df.withColumn("_other", F.pmod(F.col("_turn") * F.col("_turn") - F.col(out), F.col(n)))
+        bit = F.shiftright(scramble(F.greatest(out, "_other") + F.col("_turn")), 9) % 2
+        df = df.withColumn(out, F.when(bit == 1, F.col("_other")).otherwise(F.col(out)))
+    return df.drop("_turn", "_other")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -128,10 +129,12 @@ def slots(plan: DataFrame, block: int, shard: int, most: int) -> DataFrame:
         .filter("n > 0")
     )
     numbered = running_total(counts, ["rank"], F.floor(F.col("shard") / F.lit(CHUNKS)), [F.col("shard")], "n", "first")
-    each = numbered.select(
+    # A few bytes a row become many slots: a fixed number of partitions, which isn't merged for small bytes.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = numbered.repartition(width, "rank", "shard").select(
         "rank", "n_blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot")
-    ).filter(F.col("slot") < F.col("n_blocks") * most)
-    mapped = each.withColumn("index", permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), F.col("rank").cast("bigint")))
+    ).filter(F.col("slot") < F.col("n_blocks") * most).withColumn("_place", F.col("slot") % F.col("n_blocks"))
+    mapped = permuted(each, "_place", "n_blocks", "rank", "index")
     return mapped.groupBy("rank", "index").agg(F.count(F.lit(1)).alias("times"))
 
 
@@ -149,8 +152,9 @@ def _mixed(df: DataFrame, key: str, text: str, source: str, block: int, shard: i
         F.col(key).alias("key"), F.col(source).alias("source"), F.size(words_of(text)).cast("bigint").alias("size"),
         F.xxhash64(F.col(text)).alias("mark"), *[F.struct("*").alias("row")] * carry,
     )
-    sizes = df.select(F.col(source).alias("source"), F.size(words_of(text)).cast("bigint").alias("size"))
-    sizes = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # Without the texts the rows are small, and counted once.
+    rows = rows if carry else stored(rows, "sizes")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, share, most)
     placed = running_total(
         rows, ["source"], _chunk(rows, "key"), [F.col("key").asc_nulls_first(), F.col("size"), F.col("mark")], "size", "start")

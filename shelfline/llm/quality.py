@@ -46,7 +46,9 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, text: str = "text", key
     """
     target = trusted.select(F.col(key).alias("_key")).filter("_key IS NOT NULL").distinct()
     target = target.withColumn("_target", F.lit(True))
-    marked = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(target, "_key", "left")
+    # Labels grow with the corpus, so the join is a merge at every size rather than a broadcast at some.
+    marked = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
+        target.hint("merge"), "_key", "left")
     counts = (
         marked.select("_target", F.explode(ngram_buckets("_text", buckets)).alias("bucket"))
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_target").alias("target"))

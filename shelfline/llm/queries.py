@@ -7,12 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfline.llm import bpe_sql, minhash, mixing, quality, secrets, token_count
+from shelfline.llm import (
+    bpe_sql, minhash, mixing, quality, rabitq, secrets, substrings, token_count, toxicity, url_templates,
+)
 from shelfline.llm.frames import table
 from shelfline.session import run_dir
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
 SINGLE = "byte_bpe_50k.json"
+#: The rules of the page query.
+URL_RULES = (
+    url_templates.Rule("block", "net/"),
+    url_templates.Rule("allow", "example.net/en/"),
+    url_templates.Rule("block", "example.com/de/"),
+    url_templates.Rule("allow", "org/fr/"),
+)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +33,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(fold != 2))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, run_dir(spark, "secret-ledger"))
@@ -42,6 +61,10 @@ def op4_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio")
 
 
+def op5_binary_code_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.budget(docs, public_tokenizers.path(SINGLE))
@@ -57,7 +80,24 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        substrings.size_of("removed").alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_templates.judge(pages, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op3_secret_ledger, op4_ngram_quality, op6_heap_token_counts, op7_block_mix, op8_hyperminhash)
+    for f in (
+        op1_byte_bpe, op2_counterfactual_toxicity, op3_secret_ledger, op4_ngram_quality, op5_binary_code_vectors,
+        op6_heap_token_counts, op7_block_mix, op8_hyperminhash, op9_radix_repeats, op10_url_templates,
+    )
 }
