@@ -131,6 +131,8 @@ def band_keys(registers: Column) -> Column:
 def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of the bands in rows (key, node), and the rows of the bands too frequent for all pairs."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).filter("size > 1")
+    # Written first: joins of plain tables can split a frequent key.
+    sizes = stored(sizes, "band-sizes")
     shared = stored(members.join(sizes, "key"), "bands")
     few, many = shared.filter(F.col("size") <= GROUP), shared.filter(F.col("size") > GROUP)
     x, y = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
@@ -198,10 +200,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         roots = components(links)
         owned = frequent.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         shares = owned.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        open_keys = stored(
-            shares.groupBy("key").agg(
-                F.sum("c").alias("m"), ((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))) / 2).alias("cross"))
-            .filter("cross > 0").join(owned, "key"), "open")
+        mixed = stored(shares.groupBy("key").agg(
+            F.sum("c").alias("m"), ((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))) / 2).alias("cross")
+        ).filter("cross > 0"), "mixed")
+        open_keys = stored(mixed.join(owned, "key"), "open")
         direct = open_keys if depth == 2 else open_keys.filter(F.col("cross") <= CROSS * F.col("m"))
         if not open_keys.isEmpty():
             x = direct.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))

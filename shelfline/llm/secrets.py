@@ -19,6 +19,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfline.llm.frames import stored
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -117,6 +119,8 @@ def scan(df: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...]
             lambda f: F.struct(f["start"].alias("start"), kinds[f["version"]].alias("rule"), f["end"].alias("end"), f["kind"].alias("kind")),
         )).alias(out))
     )
+    # Written first: the join then has plain tables on both sides, and a blob with very many paths can be split.
+    current = stored(current, "findings")
     paths = df.drop(out).withColumn("_address", address)
     joined = paths.join(current, F.col("_address") == F.col("_blob"), "left").drop("_address", "_blob")
     empty = F.array().cast("array<struct<start:int,rule:int,end:int,kind:string>>")
