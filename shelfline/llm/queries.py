@@ -81,10 +81,11 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    # The size is taken before, so that the last join carries no text.
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes")))
     return cut.select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
-        substrings.size_of("removed").alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        "doc_id", "n_bytes", substrings.size_of("removed").alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
 
 

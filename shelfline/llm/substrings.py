@@ -150,12 +150,13 @@ def _window_pass(length: int) -> Callable[..., Iterator[tuple]]:
 
 def _repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of one pass: the rows whose whole stretch is repeated, and those that go on."""
-    shared = rows.groupBy("digit").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digit")
+    # Counts are written first: joins of plain tables can split a frequent digit or stretch.
+    shared = stored(rows.groupBy("digit").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digit"), "digits")
     left = stored(rows.join(shared, "digit"), "radix")
-    kinds = left.groupBy("digit", "whole").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "first", "n", "anchor")).alias("row"))
+    kinds = stored(left.groupBy("digit", "whole").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "first", "n", "anchor")).alias("row")), "stretches")
     marked = left.join(kinds.filter("copies > 1").select("digit", "whole"), ["digit", "whole"]).select("id", "first", "n")
-    many = kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1").select("digit")
+    many = stored(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1").select("digit"), "forks")
     onward = kinds.join(many, "digit").select("row.*")
     return marked, onward
 
