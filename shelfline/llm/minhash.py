@@ -6,10 +6,11 @@ registers in a row make a band; documents that share a band are candidates. Cand
 corrected for chance collisions of registers, is clearly too low are put aside, and all others are compared on
 their full sets. Documents with equal sets count as one node, so copies never meet pair by pair.
 
-Bands that many nodes share are not expanded into pairs. Their nodes are first compared with one of them; nodes
-that confirmed links already connect need no more. What is left of such a band, nodes in different components, is
-compared pair by pair if that is at most CROSS pairs a node, and else dealt out again by a second band, so that
-pairs that agree in one frequent passage only part ways. After the second band the rest is compared in full.
+No band is expanded into pairs. The nodes of a band are first compared with one of them, the one whose bands are
+the most frequent: of many edits of a text, that is the nearest to the original. Most bands are connected after
+that. In the others, nodes of different components are compared block by block on their registers, inside a task;
+only pairs that the registers don't rule out become rows. A band with more than CROSS such comparisons a node is
+dealt out again by a second band before, so that nodes that agree in one frequent passage only part ways.
 
 With 32 bands of four, a pair at similarity 0.75 has no band in common with probability 5e-6.
 """
@@ -17,11 +18,12 @@ With 32 bands of four, a pair at similarity 0.75 has no band in common with prob
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfline.llm.components import components
 from shelfline.llm.frames import stored
@@ -31,13 +33,12 @@ BUCKET_BITS = 7
 MANTISSA = 10
 ROWS = 4
 BANDS = (1 << BUCKET_BITS) // ROWS
-#: Nodes of a band that are compared pair by pair at once.
-GROUP = 32
-#: Pairs a node of a frequent band that are compared before the band is split by a second one.
-CROSS = 64
-#: A candidate with at least this many filled registers is put aside below the estimate SURE, which is some
-#: 5 standard deviations under 0.75; with fewer registers it always goes on to the full sets.
-FILLED, SURE = 64, 0.5
+#: Nodes of a block.
+BLOCK = 512
+#: Comparisons a node of a band that are made before the band is split by a second one.
+CROSS = 4096
+#: Standard errors that an estimate may fall short of the threshold by before a pair is put aside.
+ERRORS = 4.5
 PERCENT = 75
 
 # Odd multipliers that tell the places of a shingle apart, and the finisher of a 64-bit mixer.
@@ -120,29 +121,25 @@ def full_sets(rows: DataFrame) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node binary, items array<bigint>")
 
 
-def band_keys(registers: Column) -> Column:
-    """The keys of a node's bands, none for a band of empty registers."""
-    width = 2 * ROWS
-    bands = [F.substring(registers, i * width + 1, width) for i in range(BANDS)]
-    empty = F.lit(bytes(width))
-    return F.array_compact(F.array(*[F.when(x != empty, F.xxhash64(x, F.lit(i))) for i, x in enumerate(bands)]))
+def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether register rows leave the threshold possible: the estimate is at most ERRORS standard errors
+    below it, and the smaller set is large enough for the larger one."""
+    value, filled = estimates(a, b, n_a, n_b)
+    share = PERCENT / 100
+    near = value >= share - ERRORS * np.sqrt(share * (1 - share) / np.maximum(filled, 1))
+    return near & (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b))
 
 
-def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of the bands in rows (key, node), and the rows of the bands too frequent for all pairs."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).filter("size > 1")
-    # Written first: joins of plain tables can split a frequent key.
-    sizes = stored(sizes, "band-sizes")
-    shared = stored(members.join(sizes, "key"), "bands")
-    few, many = shared.filter(F.col("size") <= GROUP), shared.filter(F.col("size") > GROUP)
-    x, y = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
-    pairs = x.join(y, "key").filter("a < b").select("a", "b")
-    star = many.select(F.col("center").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    return pairs.unionByName(star).distinct(), many.select("key", "node")
+def bands(nodes: DataFrame) -> DataFrame:
+    """Rows (key, band, node): the bands of each node, none of empty registers only."""
+    width = 2 * ROWS
+    each = F.array(*[F.substring("registers", i * width + 1, width) for i in range(BANDS)])
+    return nodes.select("node", F.posexplode(each).alias("band", "cut")).filter(
+        F.col("cut") != F.lit(bytes(width))).select(F.xxhash64("cut", "band").alias("key"), "band", "node")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs that the registers don't rule out, with both set sizes."""
+    """Pairs (a, b) that the registers don't rule out."""
     side = lambda c: nodes.select(
         F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
@@ -152,27 +149,114 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             if batch.num_rows:
                 r_a, r_b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in (4, 5))
                 n_a, n_b = (batch.column(c).to_numpy().astype(float) for c in (2, 3))
-                value, filled = estimates(r_a, r_b, n_a, n_b)
-                keep = pa.array((value >= SURE) | (filled < FILLED))
-                yield batch.select(["a", "b", "n_a", "n_b"]).filter(keep)
-
-    # A smaller set can't reach the threshold with a larger one beyond this ratio.
-    sized = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    return sized.mapInArrow(run, "a binary, b binary, n_a bigint, n_b bigint")
-
-
-def _confirmed(likely: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Texts are fetched for these nodes only."""
-    likely = stored(likely, "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
-    wanted = wanted.select("node", F.col("rep.key").alias("_key"), F.col("rep.mark").alias("_mark"))
-    found = wanted.join(documents, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_mark") == F.col("mark")))
-    items = stored(full_sets(found).dropDuplicates(["node"]), "items")
-    side = lambda c: items.select(F.col("node").alias(c), F.col("items").alias(f"i_{c}"))
-    both = likely.join(side("b"), "b").join(side("a"), "a")
+                yield batch.select(["a", "b"]).filter(pa.array(likely(r_a, r_b, n_a, n_b)))
+
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _crossing(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Likely pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key.
+
+    A key is dealt out as pairs of blocks of BLOCK nodes or so, each compared in one step of a task.
+    """
+    dealt = members.withColumn("blocks", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(nodes.select("node", "n", "registers"), "node")
+    each = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.concat_ws("-", "key", F.least("block", "_with"), F.greatest("block", "_with")).alias("unit"),
+        (F.col("block") > F.col("_with")).cast("int").alias("second"), (F.col("block") == F.col("_with")).alias("alone"),
+        "node", "root", "n", "registers")
+    width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compare(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        registers = np.frombuffer(b"".join(r[6] for r in rows), np.uint16).reshape(len(rows), -1)
+        n = np.array([r[5] for r in rows], float)
+        roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        side = np.array([r[1] for r in rows])
+        for i, row in enumerate(rows):
+            # Within a block each pair once; of two blocks, the first against the second.
+            others = np.arange(i + 1, len(rows)) if row[2] else np.flatnonzero(side == 1) if not side[i] else []
+            others = np.array(others, np.int64)
+            others = others[roots[others] != roots[i]]
+            if len(others):
+                own = np.broadcast_to(registers[i], (len(others), registers.shape[1]))
+                for j in others[likely(own, registers[others], np.full(len(others), n[i]), n[others])]:
+                    yield row[3], rows[j][3]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+
+        def made(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = compare(rows)
+            while some := list(islice(found, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*some)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if waiting and waiting[0][0] != row[0]:
+                    yield from made(waiting)
+                    waiting = []
+                waiting.append(row)
+        if waiting:
+            yield from made(waiting)
+
+    pairs = each.repartition(width, "unit").sortWithinPartitions("unit").mapInArrow(run, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"i_{c}"))
     common = F.size(F.array_intersect("i_a", "i_b"))
-    joined = both.select("a", "b", "n_a", "n_b", common.alias("common"))
-    return joined.filter(100 * F.col("common") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select(
+        "a", "b", common.alias("common"), (F.size("i_a") + F.size("i_b")).alias("sizes"))
+    return stored(both.filter(100 * F.col("common") >= PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b"), "confirmed")
+
+
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows (key, m, cross, node, root) of the keys in (key, node) whose nodes aren't all connected; cross
+    is the number of pairs of different components."""
+    owned = members.join(components(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    owned = stored(owned, "owned")
+    shares = owned.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    counts = shares.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("within"))
+    counts = counts.withColumn("cross", (F.col("m") * F.col("m") - F.col("within")) / 2).filter("cross > 0").drop("within")
+    # Written first: joins of plain tables can split a frequent key.
+    return stored(owned.join(stored(counts, "open-keys"), "key"), "open")
+
+
+def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between nodes (node, rep, n, registers): enough to connect whatever links
+    connect. Texts come from (key, mark, text) by `rep`, once, for nodes that share a band with another."""
+    keyed = bands(nodes)
+    sizes = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "band-sizes")
+    shared = stored(keyed.join(sizes, "key"), "shared-bands")
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    wanted = stored(weights.join(nodes.select("node", "rep"), "node"), "shared-nodes")
+    found = wanted.select("node", F.col("rep.key").alias("_key"), F.col("rep.mark").alias("_mark")).join(
+        documents, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_mark") == F.col("mark")))
+    sets = stored(full_sets(found).dropDuplicates(["node"]), "sets")
+
+    hubs = shared.join(wanted.select("node", "weight"), "node").groupBy("key").agg(
+        F.max(F.struct("weight", "node")).getField("node").alias("hub"))
+    star = shared.join(stored(hubs, "hubs"), "key").filter("node <> hub").select(
+        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    links = _confirmed(_likely(star, nodes), sets)
+
+    members = shared.select("key", "node")
+    for depth in (1, 2):
+        unsettled = _open(members, links)
+        if unsettled.isEmpty():
+            break
+        heavy = F.col("cross") > CROSS * F.col("m") if depth == 1 else F.lit(False)
+        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes), sets))
+        split = unsettled.filter(heavy)
+        if split.isEmpty():
+            break
+        members = stored(
+            split.select(F.col("key").alias("first"), "node").join(shared.select("node", F.col("key").alias("second")), "node")
+            .filter("first <> second").select(F.xxhash64("first", "second").alias("key"), "node"), "second-bands")
+    return links
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,36 +274,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         rows.filter("node IS NOT NULL").groupBy("node").agg(
             F.min(F.struct("key", "mark")).alias("rep"), F.min("key").alias("least"),
             F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
-
-    members = nodes.select(F.explode(band_keys(F.col("registers"))).alias("key"), "node")
-    links = None
-    for depth in (1, 2):
-        pairs, frequent = _candidates(members)
-        found = stored(_confirmed(_likely(pairs, nodes), nodes, documents), "confirmed")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        owned = frequent.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        shares = owned.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        mixed = stored(shares.groupBy("key").agg(
-            F.sum("c").alias("m"), ((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))) / 2).alias("cross")
-        ).filter("cross > 0"), "mixed")
-        open_keys = stored(mixed.join(owned, "key"), "open")
-        direct = open_keys if depth == 2 else open_keys.filter(F.col("cross") <= CROSS * F.col("m"))
-        if not open_keys.isEmpty():
-            x = direct.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-            y = direct.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            crossing = x.join(y, "key").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
-            late = stored(_confirmed(_likely(crossing, nodes), nodes, documents), "confirmed")
-            links = links.unionByName(late)
-        deeper = open_keys.filter(F.col("cross") > CROSS * F.col("m"))
-        if depth == 2 or deeper.isEmpty():
-            break
-        members = (
-            deeper.select("key", "node").join(nodes.select("node", "registers"), "node")
-            .select(F.col("key").alias("first"), "node", F.explode(band_keys(F.col("registers"))).alias("second"))
-            .filter("first <> second").select(F.xxhash64("first", "second").alias("key"), "node")
-        )
-    roots = components(links)
+    roots = components(near_links(nodes, documents))
     labelled = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = labelled.join(smallest, "root").select(F.col("node").alias("_node"), "component_id")
