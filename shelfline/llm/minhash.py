@@ -8,8 +8,9 @@ their full sets. Documents with equal sets count as one node, so copies never me
 
 No band is expanded into pairs. The nodes of a band are first compared with one of them, the one whose bands are
 the most frequent: of many edits of a text, that is the nearest to the original. Most bands are connected after
-that. In the others, nodes of different components are compared block by block on their registers, inside a task;
-only pairs that the registers don't rule out become rows. A band with more than CROSS such comparisons a node is
+that. In the others, nodes of different components are compared block by block on their registers, inside a task,
+first for the best partner of each node outside the block's largest component, then, for what is still apart, for
+all pairs that the registers don't rule out. Only such pairs become rows. A band with more than CROSS such comparisons a node is
 dealt out again by a second band before, so that nodes that agree in one frequent passage only part ways.
 
 With 32 bands of four, a pair at similarity 0.75 has no band in common with probability 5e-6.
@@ -124,9 +125,15 @@ def full_sets(rows: DataFrame) -> DataFrame:
 def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Whether register rows leave the threshold possible: the estimate is at most ERRORS standard errors
     below it, and the smaller set is large enough for the larger one."""
-    value, filled = estimates(a, b, n_a, n_b)
+    return _possible(*estimates(a, b, n_a, n_b), n_a, n_b)
+
+
+def _possible(value: np.ndarray, filled: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     share = PERCENT / 100
-    near = value >= share - ERRORS * np.sqrt(share * (1 - share) / np.maximum(filled, 1))
+    # Filled registers are a sample of the union without replacement: of a small union they are nearly all.
+    union = np.maximum((n_a + n_b) / (1 + share), filled + 1)
+    error = np.sqrt(share * (1 - share) / np.maximum(filled, 1) * (union - filled) / (union - 1))
+    near = value >= share - ERRORS * error - 2 / np.maximum(filled, 1)
     return near & (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b))
 
 
@@ -154,8 +161,9 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _crossing(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key.
+def _crossing(members: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """Likely pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key; with
+    `best`, only the likeliest partner of each node that isn't in the largest component of its blocks.
 
     A key is dealt out as pairs of blocks of BLOCK nodes or so, each compared in one step of a task.
     """
@@ -173,14 +181,20 @@ def _crossing(members: DataFrame, nodes: DataFrame) -> DataFrame:
         n = np.array([r[5] for r in rows], float)
         roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
         side = np.array([r[1] for r in rows])
+        largest = np.bincount(roots).argmax()
         for i, row in enumerate(rows):
-            # Within a block each pair once; of two blocks, the first against the second.
-            others = np.arange(i + 1, len(rows)) if row[2] else np.flatnonzero(side == 1) if not side[i] else []
-            others = np.array(others, np.int64)
-            others = others[roots[others] != roots[i]]
+            if best and roots[i] == largest:
+                continue
+            # Within a block each pair once; of two blocks, the first against the second. The best partner
+            # is sought from both ends.
+            open_to = (np.arange(len(rows)) > i) | best if row[2] else (side != side[i]) & (best or not side[i])
+            others = np.flatnonzero(open_to & (roots != roots[i]))
             if len(others):
                 own = np.broadcast_to(registers[i], (len(others), registers.shape[1]))
-                for j in others[likely(own, registers[others], np.full(len(others), n[i]), n[others])]:
+                value, filled = estimates(own, registers[others], np.full(len(others), n[i]), n[others])
+                possible = _possible(value, filled, np.full(len(others), n[i]), n[others])
+                found, value = others[possible], value[possible]
+                for j in found[[value.argmax()]] if best and len(found) else found:
                     yield row[3], rows[j][3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +222,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"i_{c}"))
     common = F.size(F.array_intersect("i_a", "i_b"))
+    pairs = stored(pairs, "pairs")
     both = pairs.join(side("b"), "b").join(side("a"), "a").select(
         "a", "b", common.alias("common"), (F.size("i_a") + F.size("i_b")).alias("sizes"))
     return stored(both.filter(100 * F.col("common") >= PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b"), "confirmed")
@@ -249,7 +264,9 @@ def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
         if unsettled.isEmpty():
             break
         heavy = F.col("cross") > CROSS * F.col("m") if depth == 1 else F.lit(False)
-        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes), sets))
+        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, True), sets))
+        unsettled = _open(members, links)
+        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, False), sets))
         split = unsettled.filter(heavy)
         if split.isEmpty():
             break
