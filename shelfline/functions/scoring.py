@@ -20,7 +20,7 @@ def approval_ratio(pos: Column, neg: Column) -> Column:
 
 
 def percent_or_zero(part: Column, whole: Column, scale: int = 1) -> Column:
-    return F.round(F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)), scale)
+    return F.bround(F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)), scale)
 
 
 def approval_pct(pos: Column, neg: Column, scale: int = 1) -> Column:
@@ -36,7 +36,7 @@ def wilson_lower_bound(pos: Column, neg: Column, z: float = 1.96, scale: int = 4
     margin = F.lit(z) * F.sqrt((p * (F.lit(1.0) - p) + zz / (n * 4)) / n)
     bound = (centre - margin) / (F.lit(1.0) + zz / n)
     # + 0.0 turns a rounded -0.0 into 0.0
-    return F.round(F.when(n > 0, bound).otherwise(F.lit(0.0)), scale) + F.lit(0.0)
+    return F.bround(F.when(n > 0, bound).otherwise(F.lit(0.0)), scale) + F.lit(0.0)
 
 
 def int_or_zero(text: Column) -> Column:

@@ -90,6 +90,6 @@ def entity_dimension(df: DataFrame, entity: str, date_col: str, id_col: str) ->
         date_col, "_part", "_first",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
     )
-    return ordered.join(F.broadcast(offsets), [date_col, "_part"]).select(
+    return ordered.join(offsets, [date_col, "_part"]).select(
         (F.col("_pos") - F.col("_first") + F.col("_offset")).alias(id_col), entity, date_col
     )

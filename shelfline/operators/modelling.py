@@ -62,25 +62,28 @@ def history(df: DataFrame, key: str, tracked: list[str], date_col: str) -> DataF
 
 
 def funnel(df: DataFrame, who: str, step_col: str, ts: str, steps: list[str]) -> DataFrame:
-    """First time of every step and how many steps were reached in order."""
+    """First time of every step, and how many steps were reached in order: a step counts at its first
+    time at or after the counted time of the step before. Each step's rows are joined to one row per
+    `who`, so no one's events are gathered."""
     firsts = df.groupBy(who).agg(
         *[F.min(F.when(F.col(step_col) == s, F.col(ts))).alias(f"first_{s}") for s in steps]
     )
-    reached: list[Column] = []
-    for i, step in enumerate(steps):
-        here = F.col(f"first_{step}").isNotNull()
-        if i:
-            here = reached[-1] & here & (F.col(f"first_{step}") >= F.col(f"first_{steps[i - 1]}"))
-        reached.append(here)
-    depth = reduce(lambda a, b: a + b, [r.cast("bigint") for r in reached])
-    return firsts.withColumn("steps_reached", F.coalesce(depth, F.lit(0)))
-
-
-def spine_counts(df: DataFrame, ts: str, day_col: str = "day") -> DataFrame:
-    """Row count for every calendar day between the first and the last, empty days as 0."""
+    reached = df.filter(F.col(step_col) == steps[0]).groupBy(who).agg(F.min(ts).alias("_at"))
+    levels = [reached]
+    for step in steps[1:]:
+        later = df.filter(F.col(step_col) == step).join(levels[-1], who).filter(F.col(ts) >= F.col("_at"))
+        levels.append(later.groupBy(who).agg(F.min(ts).alias("_at")))
+    hits = reduce(DataFrame.unionByName, [x.select(who) for x in levels])
+    depth = hits.groupBy(who).agg(F.count(F.lit(1)).alias("steps_reached"))
+    return firsts.join(depth, who, "left").withColumn("steps_reached", F.coalesce("steps_reached", F.lit(0)))
+
+
+def spine_counts(df: DataFrame, ts: str, day_col: str = "day", margin: int = 0) -> DataFrame:
+    """Row count for every calendar day from `margin` days before the first to as many after the last,
+    empty days as 0."""
     daily = df.groupBy(F.to_date(ts).alias(day_col)).agg(F.count(F.lit(1)).alias("n_rows"))
     bounds = daily.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
-    days = bounds.select(F.explode(F.sequence("lo", "hi")).alias(day_col))
+    days = bounds.select(F.explode(F.sequence(F.date_sub("lo", margin), F.date_add("hi", margin))).alias(day_col))
     return days.join(daily, day_col, "left").select(
         day_col, F.coalesce("n_rows", F.lit(0)).alias("n_rows")
     )

@@ -10,18 +10,21 @@ def _order(by: str, ties: list[str], ascending: bool = False) -> list[Column]:
     return [head, *[F.col(t).asc_nulls_last() for t in ties]]
 
 
-# Tasks that may each hand n rows to the last one; about the cores of a large cluster.
-MAX_TASKS = 8192
+# Groups that the rows of all tasks are reduced in before the last task.
+SPREAD = 256
 
 
 def top_n(df: DataFrame, by: str, ties: list[str], n: int, ascending: bool = False) -> DataFrame:
-    """Plans as TakeOrderedAndProject: every task keeps n rows in a heap, and those meet in one task.
+    """The n first rows in order. Every task keeps n rows of its own, SPREAD groups of tasks keep n
+    each, and the last task sees at most SPREAD x n rows, however many tasks the scan has.
 
-    A scan of a huge table has hundreds of thousands of tasks, too many even with n rows each.
-    `coalesce` lets a task take several splits (no shuffle, no effect below MAX_TASKS), which bounds
-    the last task's input by MAX_TASKS x n rows.
+    The per-task step is Spark's window group limit, which session.py sets to reach n = 10,000.
     """
-    return df.coalesce(MAX_TASKS).orderBy(*_order(by, ties, ascending)).limit(n)
+    order = _order(by, ties, ascending)
+    dealt = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
+    window = Window.partitionBy("_group").orderBy(*order)
+    first = dealt.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= n)
+    return first.drop("_group", "_place").orderBy(*order).limit(n)
 
 
 def top_ranked(

@@ -34,8 +34,9 @@ def refresh_marts(
         dates = list_partitions(spark, silver_path)
     if dates:
         rows = read_published(spark, silver_path, silver.schema, dates)
-        for name, mart in mart_models(catalog.stage(rows)).items():
-            publish_partitions(mart, f"{marts_path}/{name}", DATE, rebalance=len(dates) > 1)
+        # Several versions of a key count once, and a date that a mart has nothing for is emptied.
+        for name, mart in mart_models(catalog.stage(rows, versioned=True)).items():
+            publish_partitions(mart, f"{marts_path}/{name}", DATE, replaced=dates)
     for name in ("games", "developers", "publishers"):
         drop_partitions(spark, f"{marts_path}/{name}", gone or [], DATE)
 

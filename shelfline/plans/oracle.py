@@ -55,8 +55,8 @@ shares AS (
 ),
 games AS (
   SELECT * EXCLUDE (share, run_id),
-    round(CASE WHEN total_reviews > 0 THEN share * 100 ELSE CAST(0 AS DOUBLE) END, 1) AS approval_pct,
-    round(CASE WHEN total_reviews > 0 THEN
+    round_even(CASE WHEN total_reviews > 0 THEN share * 100 ELSE CAST(0 AS DOUBLE) END, 1) AS approval_pct,
+    round_even(CASE WHEN total_reviews > 0 THEN
       (share + {_Z} * {_Z} / (2 * total_reviews)
         - {_Z} * sqrt((share * (1 - share) + {_Z} * {_Z} / (4 * total_reviews)) / total_reviews))
       / (1 + {_Z} * {_Z} / total_reviews)
@@ -98,7 +98,7 @@ def _mart(entity: str, where: str = "TRUE") -> str:
     SELECT {entity}, count(DISTINCT app_id) AS num_games,
       CAST(sum(positive + negative) AS BIGINT) AS total_reviews,
       CAST(sum(positive) AS BIGINT) AS total_positive, CAST(sum(negative) AS BIGINT) AS total_negative,
-      round(CASE WHEN sum(positive + negative) > 0
+      round_even(CASE WHEN sum(positive + negative) > 0
         THEN sum(positive) / sum(positive + negative) * 100 ELSE CAST(0 AS DOUBLE) END, 1) AS avg_approval_pct,
       partition_date
     FROM ({_exploded(entity)}) WHERE {where} GROUP BY {entity}, partition_date"""
@@ -327,6 +327,8 @@ ORACLES: dict[str, str] = {
         """SELECT dt, count(*) AS n_rows, CAST(sum(positive) AS BIGINT) AS positive,
              (SELECT count(*) FROM catalog_daily) AS sink_total FROM catalog_daily GROUP BY dt"""
     ),
+    "partition_stats": _catalog("SELECT dt, count(*) AS record_count, true AS has_files, true AS has_bytes "
+                                "FROM catalog_daily GROUP BY dt"),
     "partition_records": _catalog("SELECT dt, count(*) AS record_count FROM catalog_daily GROUP BY dt"),
     "describe_table": " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
@@ -419,22 +421,30 @@ ORACLES: dict[str, str] = {
     ),
     "seed_lookup": """SELECT c_custkey, c_name, n_name, r_name FROM customer
         LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey""",
-    "events_funnel": """SELECT *, CAST(CASE WHEN first_view IS NULL THEN 0
-            WHEN first_click IS NULL OR first_click < first_view THEN 1
-            WHEN first_signup IS NULL OR first_signup < first_click THEN 2
-            WHEN first_purchase IS NULL OR first_purchase < first_signup THEN 3 ELSE 4 END AS BIGINT)
-            AS steps_reached
+    "events_funnel": """WITH RECURSIVE want AS (
+          SELECT * FROM (VALUES (1, 'view'), (2, 'click'), (3, 'signup'), (4, 'purchase')) v(i, step)),
+        walk(user_id, i, hit) AS (
+          SELECT user_id, 1, min(ts) FROM events WHERE event_type = 'view' GROUP BY user_id
+          UNION ALL
+          SELECT e.user_id, w.i, min(e.ts) FROM walk JOIN want w ON w.i = walk.i + 1
+            JOIN events e ON e.user_id = walk.user_id AND e.event_type = w.step AND e.ts >= walk.hit
+          GROUP BY e.user_id, w.i),
+        deep AS (SELECT user_id, max(i) AS depth FROM walk GROUP BY user_id)
+        SELECT f.*, CAST(coalesce(depth, 0) AS BIGINT) AS steps_reached
         FROM (SELECT user_id, min(ts) FILTER (event_type = 'view') AS first_view,
                 min(ts) FILTER (event_type = 'click') AS first_click,
                 min(ts) FILTER (event_type = 'signup') AS first_signup,
                 min(ts) FILTER (event_type = 'purchase') AS first_purchase
-              FROM events GROUP BY user_id)""",
+              FROM events GROUP BY user_id) f LEFT JOIN deep USING (user_id)""",
     "date_spine": """WITH daily AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events
-            WHERE event_type = 'purchase' AND value > 30 GROUP BY 1),
-          days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
-                   FROM daily)
+            GROUP BY 1),
+          days AS (SELECT CAST(unnest(generate_series(min(day) - INTERVAL 3 DAY, max(day) + INTERVAL 3 DAY,
+                     INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
         SELECT day, coalesce(n, 0) AS n_rows FROM days LEFT JOIN daily USING (day)""",
     "landing_to_rankings": _catalog(_ranked("developer"), _STAGED),
+    "incremental_marts_emptied": _catalog(
+        f"SELECT * FROM ({_mart('developer')}) WHERE partition_date <> '1996-01-01'", _STAGED),
+    "marts_over_versions": _catalog(_mart("publisher"), _STAGED),
     "incremental_marts": _catalog(_mart("developer"), _STAGED),
     "stored_rankings": _catalog(
         _TOP_GAMES.replace("total_reviews > 0", "total_reviews > 0 AND partition_date = "

@@ -149,7 +149,7 @@ def title_words_letters(spark, sf_dir):
 @query
 def document_words(spark, sf_dir):
     texts = read_table(spark, sf_dir, "documents").select("text")
-    return token_counts(tables.spread_scan(texts), "text")
+    return token_counts(texts, "text")
 
 
 @query
@@ -337,7 +337,11 @@ def partition_sink(spark, sf_dir):
 
 @query
 def partition_stats(spark, sf_dir):
-    return tables.partition_stats(published_catalog(spark, sf_dir)[0])
+    """Rows per partition, and whether its files exist and hold anything: how many files and bytes
+    there are is the writer's choice."""
+    stats = tables.partition_stats(published_catalog(spark, sf_dir)[0])
+    return stats.select(
+        "dt", "record_count", (F.col("file_count") >= 1).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 @query
@@ -665,9 +669,8 @@ def events_funnel(spark, sf_dir):
 
 @query
 def date_spine(spark, sf_dir):
-    """Daily count of large purchases; days without one stay in the result."""
-    large = read_table(spark, sf_dir, "events").filter("event_type = 'purchase' AND value > 30")
-    return modelling.spine_counts(large, "ts")
+    """Daily count of all events, with three empty days on either side."""
+    return modelling.spine_counts(read_table(spark, sf_dir, "events"), "ts", margin=3)
 
 
 # --- stored marts ------------------------------------------------------------------------------
@@ -691,6 +694,33 @@ def incremental_marts(spark, sf_dir):
     return build.read_mart(spark, marts, "developers", daily)
 
 
+@query
+def incremental_marts_emptied(spark, sf_dir):
+    """A date that loses all its developers keeps none in the refreshed mart."""
+    daily, _ = published_catalog(spark, sf_dir)
+    base = run_dir(spark, "marts")
+    silver, marts = f"{base}/silver", f"{base}/marts"
+    sinks.publish_partitions(daily, silver)
+    build.refresh_marts(spark, silver, daily, marts)
+    sinks.publish_partitions(daily.filter("dt = '1996-01-01'").withColumn("developer", F.lit(None).cast("string")), silver)
+    build.refresh_marts(spark, silver, daily, marts, dates=["1996-01-01"])
+    return build.read_mart(spark, marts, "developers", daily)
+
+
+@query
+def marts_over_versions(spark, sf_dir):
+    """Marts of a serving table that holds an older version of every row beside the newest."""
+    daily, _ = published_catalog(spark, sf_dir)
+    base = run_dir(spark, "marts")
+    older = daily.withColumns({
+        "ingestion_timestamp": F.col("ingestion_timestamp") - F.expr("INTERVAL 1 DAY"),
+        "positive": F.lit(0).cast("bigint"),
+    })
+    sinks.publish_partitions(daily.unionByName(older), f"{base}/silver")
+    build.refresh_marts(spark, f"{base}/silver", daily, f"{base}/marts")
+    return build.read_mart(spark, f"{base}/marts", "publishers", daily)
+
+
 @query
 def stored_rankings(spark, sf_dir):
     """Top games of the newest date, from marts built over the published catalogue."""

@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rankings keep up to this many rows a task before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # dt=2026-01-01 folders must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

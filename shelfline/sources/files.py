@@ -11,6 +11,15 @@ def _path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _paths(spark: SparkSession):
+    """Spark's own escaping of partition values in folder names."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
+def partition_folder(spark: SparkSession, part: str, value: str) -> str:
+    return f"{part}={_paths(spark).escapePathName(value)}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _path(spark, path)
     return fs.exists(hadoop_path)
@@ -22,7 +31,7 @@ def list_partitions(spark: SparkSession, path: str, part: str = "dt") -> list[st
     if not fs.exists(hadoop_path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{part}="))
+    return sorted(_paths(spark).unescapePathName(n.split("=", 1)[1]) for n in names if n.startswith(f"{part}="))
 
 
 def latest_partition(spark: SparkSession, path: str, part: str = "dt") -> str:
@@ -35,5 +44,6 @@ def latest_partition(spark: SparkSession, path: str, part: str = "dt") -> str:
 def drop_partitions(spark: SparkSession, path: str, values: list[str], part: str = "dt") -> None:
     """Remove whole partitions of a published table."""
     for value in values:
-        hadoop_path, fs = _path(spark, f"{path}/{part}={value}")
-        fs.delete(hadoop_path, True)
+        hadoop_path, fs = _path(spark, f"{path}/{partition_folder(spark, part, value)}")
+        if fs.exists(hadoop_path) and not fs.delete(hadoop_path, True):
+            raise OSError(f"can't delete {hadoop_path}")

@@ -46,7 +46,7 @@ def read_landing(spark: SparkSession, path: str, dates: list[str] | None = None)
         .schema("value string, dt string")
         .option("wholetext", True)
         .option("basePath", path)
-        .load(path if dates is None else partition_folders(path, dates))
+        .load(path if dates is None else partition_folders(spark, path, dates))
         .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file"), "dt")
     )
 
@@ -115,8 +115,7 @@ def ingest_bronze(
     if dates is None:
         dates = list_partitions(spark, landing)
     pages = read_landing(spark, landing, dates)
-    # files arrive by date, so the documents need not be shuffled
-    written = publish_partitions(bronze_rows(pages, source, run_id), bronze, rebalance=False)
+    written = publish_partitions(bronze_rows(pages, source, run_id), bronze, replaced=dates)
     verify_written(read_published(spark, bronze, BRONZE_SCHEMA, dates), written, bronze)
     return written
 
@@ -130,12 +129,12 @@ def build_silver(
         dates = list_partitions(spark, bronze)
     rows = read_published(spark, bronze, BRONZE_SCHEMA, dates)
     if require_complete:
-        gaps = [r["dt"] for r in page_gaps(rows).limit(10).collect()]
+        gaps = sorted(r["dt"] for r in page_gaps(rows).select("dt").distinct().collect())
         if gaps:
             raise ValueError(f"incomplete landing dates: {gaps}")
     out = silver_rows(rows)
-    # a single date leaves the de-duplication in well-sized tasks already
-    written = publish_partitions(out, silver, sort_by="appid", rebalance=len(dates) > 1)
+    # A date that parses to nothing loses its old rows.
+    written = publish_partitions(out, silver, sort_by="appid", replaced=dates)
     verify_written(read_published(spark, silver, out.schema, dates), written, silver)
     return written
 

@@ -22,31 +22,37 @@ def _by_partition(df: DataFrame, part: str, sort_by: str | None, rebalance: bool
     return out.sortWithinPartitions(part, sort_by) if sort_by else out
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Counts rows as they are written. Placed above any shuffle, in the writing stage: a shuffle
+def _observed(df: DataFrame, part: str) -> tuple[DataFrame, Observation]:
+    """Counts rows and notes the partition values as they are written. Placed above any shuffle, in the writing stage: a shuffle
     stage that is run again after an executor loss would count its rows twice."""
     written = Observation()
-    return df.observe(written, F.count(F.lit(1)).alias("n")), written
+    parts = F.collect_set(F.col(part).cast("string")).alias("parts")
+    return df.observe(written, F.count(F.lit(1)).alias("n"), parts), written
 
 
 def publish_partitions(
-    df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True
+    df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True,
+    replaced: list[str] | None = None,
 ) -> int:
-    """Replace exactly the partitions present in `df`; returns the rows written.
+    """Replace exactly the partitions present in `df`; returns the rows written. Of the values in
+    `replaced`, those without a row in `df` are dropped.
 
-    `rebalance` shuffles rows to their partition value. Turn it off when the input already comes
-    value by value (files of a partitioned table, a single date): the write is then shuffle-free.
+    `rebalance` shuffles rows to their partition value. Turn it off for input known to come value by
+    value in large files: the write is then shuffle-free, but each task writes a file per value it holds.
 
     Re-running a publish gives the same table. Parquet offers no snapshot isolation: readers of
     a partition being replaced may see it change; use a catalog table format where that matters.
     """
-    counted, written = _observed(_by_partition(df, part, sort_by, rebalance))
+    counted, written = _observed(_by_partition(df, part, sort_by, rebalance), part)
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part)
         .parquet(path)
     )
+    if replaced:
+        empty = set(replaced) - {str(v) for v in written.get["parts"]}
+        drop_partitions(df.sparkSession, path, sorted(empty), part)
     return written.get["n"]
 
 
@@ -57,7 +63,13 @@ def publish_table(
     """Create the partitioned catalog table if absent, else replace the partitions in `df`."""
     spark = df.sparkSession
     columns = [c for c in df.columns if c != part]
-    out, written = _observed(_by_partition(df.select(*columns, part), part, None, rebalance))
+    if spark.catalog.tableExists(table):
+        # Inserts match by position: the table's order counts, and the names must be the same.
+        stored = spark.table(table).columns
+        if sorted(stored) != sorted(df.columns):
+            raise ValueError(f"{table} has columns {stored}, not {df.columns}")
+        columns = [c for c in stored if c != part]
+    out, written = _observed(_by_partition(df.select(*columns, part), part, None, rebalance), part)
     if not spark.catalog.tableExists(table):
         creation = out.writeTo(table).using(provider).partitionedBy(F.col(part))
         (creation.option("path", location) if location else creation).create()
@@ -94,9 +106,9 @@ def count_report(expected: DataFrame, actual: DataFrame, part: str = "dt") -> Da
 def verify_counts(expected: DataFrame, actual: DataFrame, part: str = "dt") -> None:
     """Fail when any partition differs in its row count."""
     wrong = count_report(expected, actual, part).filter("expected_rows <> actual_rows")
-    sample = wrong.limit(10).collect()
-    if sample:
-        raise ValueError(f"row counts differ after write: {[r.asDict() for r in sample]}")
+    found = wrong.collect()  # partitions, not rows
+    if found:
+        raise ValueError(f"row counts differ after write: {[r.asDict() for r in found]}")
 
 
 def verify_written(target: DataFrame, written: int, name: str) -> None:
@@ -120,7 +132,7 @@ class PathTarget:
 
     def replace(self, df: DataFrame, values: list[str]) -> int:
         """Rows of exactly these partition values, as read from a table partitioned alike."""
-        written = publish_partitions(df, self.path, self.part, rebalance=False)
+        written = publish_partitions(df, self.path, self.part)
         found = read_published(self.spark, self.path, df.schema, values, self.part)
         verify_written(found, written, self.path)
         return written
@@ -144,13 +156,13 @@ class TableTarget:
         return set(partition_values(self.spark.table(self.table), self.part))
 
     def replace(self, df: DataFrame, values: list[str]) -> int:
-        written = publish_table(df, self.table, self.part, self.provider, rebalance=False)
+        written = publish_table(df, self.table, self.part, self.provider)
         found = self.spark.table(self.table).filter(F.col(self.part).isin(values))
         verify_written(found, written, self.table)
         return written
 
     def drop(self, values: list[str]) -> None:
-        for value in values:
+        for value in (v.replace("\\", "\\\\").replace("'", "\\'") for v in values):
             if self.provider == "parquet":
                 self.spark.sql(
                     f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({self.part} = '{value}')"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from shelfline.sources.files import partition_folder
+
 
 # Schemas of the test tables by path: inferring one is a Spark job of its own.
 _schemas: dict[str, StructType] = {}
@@ -17,24 +19,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """Rows of a plain scan over all cores, for row work much dearer than a shuffle (tokenising).
-
-    Only when the files give fewer tasks than there are cores, as one big unsplittable file does;
-    a scan of many splits passes through untouched. Use on scans, not on plans with a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def partitioned_schema(schema: StructType, part: str = "dt") -> StructType:
     """The schema of a published table: `part` last and always a string."""
     fields = [f for f in schema.fields if f.name != part]
     return StructType([*fields, StructField(part, StringType())])
 
 
-def partition_folders(path: str, values: list[str], part: str = "dt") -> list[str]:
-    return [f"{path}/{part}={value}" for value in values]
+def partition_folders(spark: SparkSession, path: str, values: list[str], part: str = "dt") -> list[str]:
+    return [f"{path}/{partition_folder(spark, part, value)}" for value in values]
 
 
 def read_published(
@@ -46,7 +38,7 @@ def read_published(
     reader = spark.read.schema(partitioned_schema(schema, part))
     if values is None:
         return reader.parquet(path)
-    return reader.option("basePath", path).parquet(*partition_folders(path, values, part))
+    return reader.option("basePath", path).parquet(*partition_folders(spark, path, values, part))
 
 
 def scan_glob(

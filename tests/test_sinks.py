@@ -146,13 +146,22 @@ def test_json_and_describe(spark):
     ]
 
 
-def test_spread_scan_only_touches_small_scans(spark, folder):
-    spark.range(1000).write.parquet(folder)
-    scan = spark.read.parquet(folder)
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread_scan(scan.coalesce(1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, 1, cores * 3)
-    assert tables.spread_scan(many).rdd.getNumPartitions() == cores * 3
+def test_publish_drops_emptied_and_odd_values(spark, folder):
+    sinks.publish_partitions(frame(spark, {"v:0": 3, "o'b": 2, "x": 1}), folder)
+    assert list_partitions(spark, folder) == ["o'b", "v:0", "x"]
+    left = frame(spark, {"v:0": 4})
+    sinks.publish_partitions(left, folder, replaced=["v:0", "o'b"])
+    assert list_partitions(spark, folder) == ["v:0", "x"]
+    assert read_published(spark, folder, left.schema, ["v:0"]).count() == 4
+
+
+def test_publish_table_goes_by_name(spark):
+    rows = spark.createDataFrame([(1, 2, "a")], "pos int, neg int, dt string")
+    sinks.publish_table(rows, "by_name")
+    sinks.publish_table(rows.select("neg", F.lit(9).alias("pos"), "dt"), "by_name")
+    assert [(r.pos, r.neg) for r in spark.table("by_name").collect()] == [(9, 2)]
+    with pytest.raises(ValueError):
+        sinks.publish_table(rows.drop("neg"), "by_name")
 
 
 def test_materialize(spark):
