@@ -37,17 +37,16 @@ def scramble(value: Column) -> Column:
 
 def permuted(df: DataFrame, index: str, n: str, key: str, out: str) -> DataFrame:
     """Adds the place of `index` under a permutation of 0 .. n - 1 chosen by `key`: in each round, an
-    index and its mirror image about a round key change places or not, by a bit that both share.
+    index and its mirror image about a round key change places or not, by a bit that both share."""
+    rounds = F.sequence(F.lit(1), F.lit(ROUNDS)).cast("array<bigint>")
 
-    A round is two projections, so that generated code computes each value once.
-    """
-    df = df.withColumn(out, F.col(index).cast("bigint"))
-    for r in range(1, ROUNDS + 1):
-        df = df.withColumn("_turn", (F.col(key).cast("bigint") * 69621 + r * 48271) * 16807 % PRIME)
-        df = df.withColumn("_other", F.pmod(F.col("_turn") * F.col("_turn") - F.col(out), F.col(n)))
-        bit = F.shiftright(scramble(F.greatest(out, "_other") + F.col("_turn")), 9) % 2
-        df = df.withColumn(out, F.when(bit == 1, F.col("_other")).otherwise(F.col(out)))
-    return df.drop("_turn", "_other")
+    def step(x: Column, r: Column) -> Column:
+        turn = (F.col(key).cast("bigint") * 69621 + r * 48271) * 16807 % PRIME
+        other = F.pmod(turn * turn - x, F.col(n))
+        bit = F.shiftright(scramble(F.greatest(x, other) + turn), 9) % 2
+        return F.when(bit == 1, other).otherwise(x)
+
+    return df.withColumn(out, F.aggregate(rounds, F.col(index).cast("bigint"), step))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
