@@ -10,7 +10,8 @@ No band is expanded into pairs. The nodes of a band are first compared with one
 the most frequent: of many edits of a text, that is the nearest to the original. Most bands are connected after
 that. In the others, nodes of different components are compared block by block on their registers, inside a task,
 first for the best partner of each node outside the block's largest component, then, for what is still apart, for
-all pairs that the registers don't rule out. Only such pairs become rows. A band with more than CROSS such comparisons a node is
+all pairs that neither the registers nor the sets' smallest hashes rule out. Sets of up to LOWEST shingles have all
+their hashes there, so of such sets only true links become rows. A band with more than CROSS such comparisons a node is
 dealt out again by a second band before, so that nodes that agree in one frequent passage only part ways.
 
 With 32 bands of four, a pair at similarity 0.75 has no band in common with probability 5e-6.
@@ -36,6 +37,8 @@ ROWS = 4
 BANDS = (1 << BUCKET_BITS) // ROWS
 #: Nodes of a block.
 BLOCK = 512
+#: Smallest hashes of a set that go with its registers into a block.
+LOWEST = 1024
 #: Comparisons a node of a band that are made before the band is split by a second one.
 CROSS = 4096
 #: Standard errors that an estimate may fall short of the threshold by before a pair is put aside.
@@ -161,39 +164,75 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _crossing(members: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
-    """Likely pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key; with
-    `best`, only the likeliest partner of each node that isn't in the largest component of its blocks.
+class _Lowest:
+    """The smallest hashes of the sets of a block, for estimates of one set against others.
+
+    Hashes are kept as their 31 leading bits; two that agree there count as equal, which can only raise an estimate."""
+
+    def __init__(self, parts: list[np.ndarray], n: np.ndarray):
+        self.n = n
+        self.lengths = np.array([len(p) for p in parts])
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        values, self.places = np.unique(np.concatenate(parts), return_inverse=True)
+        self.whole = self.lengths >= n
+        # Beyond its limit a set's hashes are unknown.
+        self.limits = np.where(self.whole, len(values), self.places[self.starts + self.lengths - 1])
+        self.own = np.zeros(len(values), bool)
+
+    def possible(self, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether set i may reach the threshold with each of `others`, and their estimates."""
+        mine = self.places[self.starts[i]:self.starts[i] + self.lengths[i]]
+        self.own[mine] = True
+        common = np.add.reduceat(self.own[self.places], self.starts, dtype=np.int64)[others]
+        self.own[mine] = False
+        theirs = np.add.reduceat(self.places <= self.limits[i], self.starts, dtype=np.int64)[others]
+        seen = np.searchsorted(mine, self.limits[others], side="right") + theirs - common
+        value = common / np.maximum(seen, 1)
+        exact = self.whole[i] & self.whole[others]
+        near = _possible(value, seen, np.full(len(others), self.n[i]), self.n[others])
+        return np.where(exact, 100 * common >= PERCENT * seen, near), value
+
+
+def _crossing(members: DataFrame, nodes: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key, that registers
+    and smallest hashes leave possible; with `best`, only the likeliest partner of each node that isn't in the
+    largest component of its blocks.
 
     A key is dealt out as pairs of blocks of BLOCK nodes or so, each compared in one step of a task.
     """
     dealt = members.withColumn("blocks", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(nodes.select("node", "n", "registers"), "node")
+    # Items are sorted, so the first are the smallest.
+    lowest = F.transform(F.slice("items", 1, LOWEST), lambda h: F.shiftrightunsigned(h, 33).cast("int"))
+    dealt = dealt.join(nodes.select("node", "n", "registers"), "node").join(sets.select("node", lowest.alias("lowest")), "node")
     each = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.concat_ws("-", "key", F.least("block", "_with"), F.greatest("block", "_with")).alias("unit"),
         (F.col("block") > F.col("_with")).cast("int").alias("second"), (F.col("block") == F.col("_with")).alias("alone"),
-        "node", "root", "n", "registers")
+        "node", "root", "n", "registers", "lowest")
     width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        largest = np.bincount(roots).argmax()
+        seeking = np.flatnonzero(roots != largest) if best else np.arange(len(rows))
+        if roots.max() == 0:
+            return
         registers = np.frombuffer(b"".join(r[6] for r in rows), np.uint16).reshape(len(rows), -1)
         n = np.array([r[5] for r in rows], float)
-        roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        lowest = _Lowest([r[7] for r in rows], n)
         side = np.array([r[1] for r in rows])
-        largest = np.bincount(roots).argmax()
-        for i, row in enumerate(rows):
-            if best and roots[i] == largest:
-                continue
+        for i in seeking:
+            row = rows[i]
             # Within a block each pair once; of two blocks, the first against the second. The best partner
             # is sought from both ends.
             open_to = (np.arange(len(rows)) > i) | best if row[2] else (side != side[i]) & (best or not side[i])
             others = np.flatnonzero(open_to & (roots != roots[i]))
             if len(others):
                 own = np.broadcast_to(registers[i], (len(others), registers.shape[1]))
-                value, filled = estimates(own, registers[others], np.full(len(others), n[i]), n[others])
-                possible = _possible(value, filled, np.full(len(others), n[i]), n[others])
-                found, value = others[possible], value[possible]
+                others = others[likely(own, registers[others], np.full(len(others), n[i]), n[others])]
+            if len(others):
+                near, value = lowest.possible(i, others)
+                found, value = others[near], value[near]
                 for j in found[[value.argmax()]] if best and len(found) else found:
                     yield row[3], rows[j][3]
 
@@ -206,7 +245,7 @@ def _crossing(members: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*some)], ["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), (x.values.to_numpy() for x in batch.columns[-1])):
                 if waiting and waiting[0][0] != row[0]:
                     yield from made(waiting)
                     waiting = []
@@ -264,9 +303,9 @@ def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
         if unsettled.isEmpty():
             break
         heavy = F.col("cross") > CROSS * F.col("m") if depth == 1 else F.lit(False)
-        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, True), sets))
+        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, sets, True), sets))
         unsettled = _open(members, links)
-        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, False), sets))
+        links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, sets, False), sets))
         split = unsettled.filter(heavy)
         if split.isEmpty():
             break

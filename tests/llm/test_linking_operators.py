@@ -146,3 +146,21 @@ def test_pipeline_stages(spark, sf_dir):
             assert kept.count() == before.count() and kept.filter("text RLIKE 'AKIA[A-Z0-9]{14}'").count() == 0
     coded = corpus_pipeline.encode(spark, kept, sf_dir).collect()
     assert len(coded) == kept.count() and all(len(r.ids) == r.n_tokens for r in coded)
+
+
+def test_smallest_hashes():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**31, 3000)
+    for size in (40, 300, 3000):  # the last is longer than what is kept
+        sets = [np.unique(np.where(rng.random(size) < share, rng.integers(0, 2**31, size), base[:size]))
+                for share in (0, 0, 0.02, 0.05, 0.08, 0.1, 0.12, 0.15, 0.2, 0.5, 1)]
+        n = np.array([len(s) for s in sets], float)
+        lowest = minhash._Lowest([s[:minhash.LOWEST] for s in sets], n)
+        others = np.arange(len(sets))
+        for i, mine in enumerate(sets):
+            true = np.array([len(np.intersect1d(mine, s)) / len(np.union1d(mine, s)) for s in sets])
+            near, value = lowest.possible(i, others)
+            assert near[true >= 0.75].all() and not near[true < 0.65].any()
+            assert np.abs(value - true).max() < 0.07
+            if size <= minhash.LOWEST:
+                assert (near == (100 * true >= 75)).all() and np.allclose(value, true)
