@@ -3,13 +3,14 @@
 A unit vector is turned by a random rotation; the signs of its coordinates are its code. The inner product of
 the code (as a unit vector) with the turned vector is stored as the correction factor: an inner product with the
 code, divided by the factor, is an unbiased estimate of the inner product with the vector, with an error whose
-spread the factor gives. Pairs whose estimate plus EPSILON spreads is below the threshold are dropped; the
-others are computed again in double precision.
+spread the factor gives, less the nearer the two vectors are. The other vector of a pair takes part with its turned
+coordinates in 16 levels, whose rounding adds to the spread. Pairs whose estimate plus EPSILON spreads is below the
+threshold either way round are dropped; the others fetch their vectors and are computed again in double precision.
 
 Which pairs are looked at: bits of further rotations make tables of buckets. With n vectors, a bucket key has
 about log2(n / 16) bits, and there are as many tables as make a pair right at the threshold share no bucket with
-probability MISSED. Equal vectors count once. A bucket of more than BLOCK vectors is dealt out as pairs of blocks,
-so nothing is capped. A pair is reported by the first table in which it shares a bucket.
+probability MISSED. Equal vectors count once. Buckets hold codes, not vectors. A bucket of more than BLOCK vectors is
+dealt out as pairs of blocks, so nothing is capped.
 """
 
 from __future__ import annotations
@@ -83,63 +84,73 @@ def _bit_rows(units: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return signs @ (1 << np.arange(bits, dtype=np.int64))
 
 
+def sketches(units: np.ndarray) -> np.ndarray:
+    """One row of bytes a vector: factor, lowest level and step as 32-bit floats, the code's bits, then the turned
+    coordinates as four-bit levels."""
+    dim = units.shape[1]
+    turned = units @ rotations(dim, 1)[0]
+    factor = np.abs(turned).sum(1) / math.sqrt(dim)
+    low = turned.min(1)
+    step = np.maximum((turned.max(1) - low) / 15, 1e-30)
+    levels = np.rint((turned - low[:, None]) / step[:, None]).clip(0, 15).astype(np.uint8)
+    levels = np.pad(levels, ((0, 0), (0, dim % 2)))
+    numbers = np.stack([factor, low, step], axis=1).astype(np.float32).view(np.uint8)
+    return np.concatenate([numbers, np.packbits(turned > 0, axis=1), levels[:, ::2] << 4 | levels[:, 1::2]], axis=1)
+
+
+def estimates(rows: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner products of each sketch (row, by its code) with each (column, by its levels), and their
+    spreads for vectors at right angles; the part that rounding adds comes squared as the third result."""
+    factor, low, step = np.ascontiguousarray(rows[:, :12]).view(np.float32).astype(float).T
+    ends = 12 + (dim + 7) // 8
+    codes = np.where(np.unpackbits(rows[:, 12:ends], axis=1, count=dim), 1.0, -1.0) / math.sqrt(dim)
+    levels = np.stack([rows[:, ends:] >> 4, rows[:, ends:] & 15], axis=2).reshape(len(rows), -1)[:, :dim]
+    spread = np.sqrt(np.maximum(1 - factor**2, 0)) / factor / math.sqrt(max(dim - 1, 1))
+    rounding = step[None, :] ** 2 / 12 / factor[:, None] ** 2
+    return codes @ (levels * step[:, None] + low[:, None]).T / factor[:, None], spread, rounding
+
+
+def likely(rows: np.ndarray, dim: int, own: np.ndarray, other: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sketches `own` x `other` that the bounds leave possible, both ways round."""
+    guess, spread, rounding = estimates(rows, dim)
+    # The code's error stands at right angles to the vector: a pair at the threshold sees its sine only.
+    error = np.sqrt((1 - cosine**2) * spread[:, None] ** 2 + rounding)
+    maybe = guess + EPSILON * error >= cosine - 1e-6
+    i, j = np.nonzero((maybe & maybe.T)[np.ix_(own, other)])
+    return own[i], other[j]
+
+
 def _bucketed(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """Rows (bucket, table, node, unit), one a table."""
+    """Rows (bucket, dim, node, sketch), one a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, units = batch.column(0), batch.column(1)
             dims = np.array([len(u) // 8 for u in units.to_pylist()])
             for dim in np.unique(dims):
-                some = np.flatnonzero(dims == dim)
-                vectors = np.frombuffer(b"".join(units.take(pa.array(some)).to_pylist())).reshape(-1, dim)
+                some = pa.array(np.flatnonzero(dims == dim))
+                vectors = np.frombuffer(b"".join(units.take(some).to_pylist())).reshape(-1, dim)
                 keys = _bit_rows(vectors, bits, tables)
+                rows = pa.array([r.tobytes() for r in sketches(vectors)], pa.binary())
                 for t in range(tables):
-                    bucket = (keys[:, t] * tables + t) * 100_003 + dim
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(bucket), pa.array(np.full(len(some), t, np.int32)), node.take(pa.array(some)), units.take(pa.array(some))],
-                        ["bucket", "table", "node", "unit"])
-
-    return nodes.select("node", "unit").mapInArrow(run, "bucket bigint, table int, node binary, unit binary")
-
-
-def estimates(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of each vector (row, by its code) with each (column), and each row's spread."""
-    dim = units.shape[1]
-    turned = units @ rotations(dim, 1)[0]
-    codes = np.where(turned > 0, 1.0, -1.0) / math.sqrt(dim)
-    factor = (codes * turned).sum(1)
-    spread = np.sqrt(np.maximum(1 - factor**2, 0)) / factor / math.sqrt(max(dim - 1, 1))
-    return codes @ turned.T / factor[:, None], spread
+                        [pa.array(keys[:, t] * tables + t), pa.array(np.full(len(some), dim, np.int32)), node.take(some), rows],
+                        ["bucket", "dim", "node", "sketch"])
 
+    return nodes.select("node", "unit").mapInArrow(run, "bucket bigint, dim int, node binary, sketch binary")
 
-def linked(units: np.ndarray, own: np.ndarray, other: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows `own` x `other` with cosine at or above the threshold."""
-    guess, spread = estimates(units)
-    maybe = (guess + EPSILON * spread[:, None] >= cosine) & (guess.T + EPSILON * spread[None, :] >= cosine)
-    i, j = np.nonzero(maybe[np.ix_(own, other)])
-    i, j = own[i], other[j]
-    exact = np.einsum("ij,ij->i", units[i], units[j]) >= cosine
-    return i[exact], j[exact]
 
-
-def _pairs(units_rows: DataFrame, bits: int, tables: int, cosine: float) -> DataFrame:
-    """Rows (unit_key, table, first, second, block, node, unit) in order of unit_key to links (a, b)."""
+def _candidates(ordered: DataFrame, cosine: float) -> DataFrame:
+    """Rows (bucket, dim, first, second, block, node, sketch) in order of the first four to pairs (a, b), a < b."""
 
     def compare(rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
-        table, first, second = rows[0][1], rows[0][2], rows[0][3]
+        _, dim, first, second = rows[0][:4]
         block = np.array([r[4] for r in rows])
-        units = np.frombuffer(b"".join(r[6] for r in rows)).reshape(len(rows), -1)
-        i, j = linked(units, np.flatnonzero(block == first), np.flatnonzero(block == second), cosine)
+        data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
+        i, j = likely(data, dim, np.flatnonzero(block == first), np.flatnonzero(block == second), cosine)
         names = [r[5] for r in rows]
-        if first == second:
-            ordered = np.array([names[x] < names[y] for x, y in zip(i, j)], bool)
-            i, j = i[ordered], j[ordered]
-        if len(i) and table:
-            keys = _bit_rows(units, bits, tables)[:, :table]
-            new = ~(keys[i] == keys[j]).any(1)
-            i, j = i[new], j[new]
-        return [names[x] for x in i], [names[y] for y in j]
+        pairs = [sorted((names[x], names[y])) for x, y in zip(i.tolist(), j.tolist()) if first != second or x < y]
+        return [p[0] for p in pairs], [p[1] for p in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
@@ -151,31 +162,47 @@ def _pairs(units_rows: DataFrame, bits: int, tables: int, cosine: float) -> Data
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if waiting and waiting[0][0] != row[0]:
+                if waiting and waiting[0][:4] != row[:4]:
                     yield from made(waiting)
                     waiting = []
                 waiting.append(row)
         if waiting:
             yield from made(waiting)
 
-    return units_rows.mapInArrow(run, "a binary, b binary")
+    return ordered.mapInArrow(run, "a binary, b binary")
+
+
+def _exact(pairs: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
+    """The pairs (a, b) whose vectors reach the threshold in double precision."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("unit").alias(f"u_{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "u_a", "u_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            products = [np.frombuffer(x) @ np.frombuffer(y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(products) >= cosine, pa.bool_()))
+
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def links(nodes: DataFrame, cosine: float = COSINE, missed: float = MISSED) -> DataFrame:
     """Pairs (a, b) of the different vectors in (node, unit) whose cosine is at least `cosine`."""
     bits, tables = plan_tables(nodes.count(), cosine, missed)
     members = _bucketed(nodes, bits, tables)
-    large = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")).filter("blocks > 1")
-    dealt = members.join(large, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sizes = members.groupBy("bucket", "dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # Stored, so that Spark knows the size: few buckets are large, and then codes are shuffled once.
+    large = stored(sizes.filter("blocks > 1"), "large-buckets")
+    dealt = members.join(large, ["bucket", "dim"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     each = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    unit_rows = each.select(
-        F.xxhash64("bucket", F.least("block", "_with"), F.greatest("block", "_with")).alias("unit_key"), "table",
-        F.least("block", "_with").alias("first"), F.greatest("block", "_with").alias("second"), "block", "node", "unit", "bucket")
+    each = each.select(
+        "bucket", "dim", F.least("block", "_with").alias("first"), F.greatest("block", "_with").alias("second"),
+        "block", "node", "sketch")
     width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = unit_rows.repartition(width, "unit_key", "bucket").sortWithinPartitions("unit_key", "bucket")
-    found = _pairs(ordered.withColumn("unit_key", F.concat_ws("-", "unit_key", "bucket")).drop("bucket"), bits, tables, cosine)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    unit = ["bucket", "dim", "first", "second"]
+    ordered = each.repartition(width, *unit).sortWithinPartitions(*unit)
+    pairs = stored(_candidates(ordered, cosine).distinct(), "vector-pairs")
+    return _exact(pairs, nodes, cosine)
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:

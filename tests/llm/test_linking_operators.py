@@ -99,11 +99,20 @@ def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(9)
     x = rng.standard_normal((400, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    guess, spread = rabitq.estimates(x)
-    error = guess - x @ x.T
+    x[200:] = x[:200] + 0.48 * x[200:]  # cosines of about 0.9 to the first half
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows, cosines = rabitq.sketches(x), x @ x.T
+    guess, spread, rounding = rabitq.estimates(rows, 64)
+    error = guess - cosines
     off = ~np.eye(400, dtype=bool)
     assert abs(error[off].mean()) < 0.005
-    assert (np.abs(error) <= rabitq.EPSILON * spread[:, None])[off].mean() > 0.9995
+    bound = np.sqrt((1 - cosines**2).clip(0) * spread[:, None] ** 2 + rounding)
+    assert (np.abs(error) <= rabitq.EPSILON * bound)[off].mean() > 0.9995
+    own, other = np.arange(200), np.arange(200, 400)
+    i, j = rabitq.likely(rows, 64, own, other, 0.9)
+    near = cosines[np.ix_(own, other)] >= 0.9
+    assert near.sum() > 60 and {*zip(i, j)} >= {(a, b + 200) for a, b in zip(*np.nonzero(near))}
+    assert len(i) < 0.02 * near.size
 
 
 def test_permutation(spark):
