@@ -2,8 +2,10 @@
 
 Per host, path segments that vary (numbers, hex names, or places with many different children) become wildcards.
 Branches of a host that differ in their last fixed segment alone are merged if their share of bad labels is
-statistically alike. A template is rejected if its share of bad labels, smoothed towards the share among all labels,
-is high enough; a template without a label in its merged branch is allowed.
+statistically alike. A template without labels differs from none of its siblings: it joins the merged branch, and
+if that has no labels either, it takes those of its host. A template is rejected if its share of bad labels, smoothed
+towards the share among all labels, is high enough. Without any label on its host that share is the overall one,
+which tells nothing about the template, so it is allowed.
 
 Pages are first counted by host and plain template; the tree is built from these counts.
 """
@@ -63,7 +65,7 @@ def plain_template(path: Column) -> Column:
 
 def templates(counted: DataFrame) -> DataFrame:
     """(host, plain, n, bad, labels) by plain template to (host, plain, template, bad, labels) with the final
-    template and the label counts of its merged branch."""
+    template and the label counts of its merged branch, or of its host if the branch has none."""
     keyed = counted.withColumn("_id", F.array_join("plain", "/"))
     places = keyed.select("host", "_id", "n", F.posexplode("plain").alias("depth", "segment")).join(
         keyed.select("host", "_id", "plain"), ["host", "_id"])
@@ -88,19 +90,20 @@ def templates(counted: DataFrame) -> DataFrame:
     both = own.join(together, ["host", "branches"])
     share, shared = F.col("bad") / F.col("labels"), F.col("all_bad") / F.col("all_labels")
     error = F.sqrt(shared * (1 - shared) / F.col("labels") + 0.25 / (F.col("labels") + 1) / F.col("all_labels"))
-    alike = F.when(F.col("labels") > 0, F.abs(share - shared) <= ALIKE * error).otherwise(F.lit(False))
+    alike = F.when(F.col("labels") > 0, F.abs(share - shared) <= ALIKE * error).otherwise(F.lit(True))
     merged = both.withColumn("alike", alike)
     pool = merged.filter("alike").groupBy("host", "branches").agg(F.sum("bad").alias("pool_bad"), F.sum("labels").alias("pool_labels"))
-    evidence = merged.join(pool, ["host", "branches"], "left").select(
-        "host", "template", F.when(F.col("alike"), F.col("pool_bad")).otherwise(F.col("bad")).alias("bad"),
-        F.when(F.col("alike"), F.col("pool_labels")).otherwise(F.col("labels")).alias("labels"))
+    hosts = own.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("labels").alias("host_labels"))
+    evidence = merged.join(pool, ["host", "branches"], "left").join(hosts, "host").select("host", "template", *[
+        F.when(~F.col("alike"), F.col(c)).when(F.col("pool_labels") > 0, F.col(f"pool_{c}")).otherwise(F.col(f"host_{c}")).alias(c)
+        for c in ("bad", "labels")])
     return named.select("host", F.col("_id").alias("plain"), "template").join(evidence, ["host", "template"])
 
 
 def judge(df: DataFrame, rules: tuple[Rule, ...], url: str = "url", labelled: Column | None = None) -> DataFrame:
     """Adds host, path, rule, template, purity (the smoothed share of bad labels) and verdict.
 
-    A rule's verdict holds; else the template's. `labelled` gives a row's label, 1 bad and 0 good or null;
+    A rule's verdict holds; else the template's, of which purity is never null. `labelled` gives a row's label, 1 bad and 0 good or null;
     by default the rules label the rows that they fit. A null url, or one without ://, has empty host and
     path and is judged like any other. Repeated rows and other columns stay; columns named like a result
     are replaced. An empty table gives an empty table.
@@ -117,10 +120,10 @@ def judge(df: DataFrame, rules: tuple[Rule, ...], url: str = "url", labelled: Co
     overall = counted.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("labels"), F.lit(0)), F.lit(0.0)).alias("share"))
     tree = templates(counted).withColumn("_share", overall.scalar()).select(
         F.col("host").alias("_host"), F.col("plain").alias("_plain"), F.col("template").alias("template"),
-        F.when(F.col("labels") > 0, (F.col("bad") + SMOOTHING * F.col("_share")) / (F.col("labels") + SMOOTHING)).alias("purity"))
+        ((F.col("bad") + SMOOTHING * F.col("_share")) / (F.col("labels") + SMOOTHING)).alias("purity"), (F.col("labels") > 0).alias("_known"))
     rows = df.drop(*[c for c in added if c != url]).withColumns({"_h": host, "_p": plain, "_path": path, "_rule": name, "_verdict": verdict})
     joined = rows.join(tree, (F.col("_h") == F.col("_host")) & (F.col("_p") == F.col("_plain")), "left")
-    method = F.when(F.col("purity") >= REJECTED, "block").otherwise("allow")
+    method = F.when(F.col("_known") & (F.col("purity") >= REJECTED), "block").otherwise("allow")
     return joined.select(
         *[c for c in df.columns if c not in added], F.col("_h").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
         "template", "purity", F.coalesce("_verdict", method).alias("verdict"))

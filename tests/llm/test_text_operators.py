@@ -177,6 +177,18 @@ def test_url_verdicts(spark):
     assert url_templates.judge(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_templates_without_labels(spark):
+    urls = [f"http://a.example.com/de/{i}" for i in range(30)] + [f"http://b.org/fr/{i}" for i in range(30)]
+    urls += ["http://a.example.com/en/1", "http://a.example.com/en/x/y", "http://b.org/en/1", "http://c.org/en/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.url: r for r in url_templates.judge(df, queries.URL_RULES).filter("rule IS NULL").collect()}
+    # By the merged branch, by the host, by a host of good labels, and without any label on the host.
+    assert [got[u].verdict for u in urls[-4:]] == ["block", "block", "allow", "allow"]
+    assert [round(got[u].purity, 6) for u in urls[-4:]] == [round(32 / 34, 6)] * 2 + [round(2 / 34, 6), 0.5]
+    alone = url_templates.judge(df, (url_templates.Rule("block", "example.com/de/"),)).filter("host = 'c.org'").first()
+    assert (alone.purity, alone.verdict) == (1.0, "allow")
+
+
 def test_contract_digests(spark, sf_dir):
     own = library()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
