@@ -20,11 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Of repeated rows that
-    share it, one stays."""
-    classes = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(classes, docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group of near copies: the one with the smallest id, null after all others, then with
+    the smallest hash of the text. Documents are told apart by text, so ids may repeat or be missing."""
+    return minhash.one_of_each(docs.select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

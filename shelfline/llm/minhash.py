@@ -315,6 +315,20 @@ def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
     return links
 
 
+def _grouped(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and rows (node, rep, least, root) of the shingle sets, root naming the component."""
+    rows = stored(signatures(df, key, text), "signatures")
+    documents = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    # Structs are in order of their fields: a null key comes last.
+    first = F.struct(F.col("key").isNull().alias("none"), "key", "mark")
+    nodes = stored(
+        rows.filter("node IS NOT NULL").groupBy("node").agg(
+            F.min(first).alias("rep"), F.min("key").alias("least"),
+            F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
+    roots = components(near_links(nodes, documents))
+    return rows, nodes.join(roots, "node", "left").select("node", "rep", "least", F.coalesce("root", "node").alias("root"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_shingles, component_id, kept), one per input row.
 
@@ -324,14 +338,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     same key, are all kept or none. Other columns are not carried, so their names can't clash. An empty
     table gives an empty table.
     """
-    rows = stored(signatures(df, key, text), "signatures")
-    documents = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
-    nodes = stored(
-        rows.filter("node IS NOT NULL").groupBy("node").agg(
-            F.min(F.struct("key", "mark")).alias("rep"), F.min("key").alias("least"),
-            F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
-    roots = components(near_links(nodes, documents))
-    labelled = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    rows, labelled = _grouped(df, key, text)
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = labelled.join(smallest, "root").select(F.col("node").alias("_node"), "component_id")
     joined = rows.join(classes, F.col("node") == F.col("_node"), "left")
@@ -339,3 +346,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return joined.select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
         component.eqNullSafe(F.col("key")).alias("kept"))
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input without near copies, its columns as they are: of each component the row with the smallest key
+    (null after all others), then the smallest hash of the text, then the smallest other columns.
+
+    Rows without shingles are no copies of anything and all stay, repeated ones too. Keys needn't be unique:
+    different texts under one key, or without a key, are rows of their own. Other columns must be of types that
+    can be put in order. An empty table gives an empty table.
+    """
+    rows, labelled = _grouped(df, key, text)
+    chosen = labelled.groupBy("root").agg(F.min("rep").alias("rep")).select(
+        F.col("rep.key").alias("_key"), F.col("rep.mark").alias("_mark"), F.lit(False).alias("_alone"))
+    alone = rows.filter("node IS NULL").select("key", "mark", F.lit(True)).distinct()
+    chosen = stored(chosen.unionByName(alone.toDF(*chosen.columns)), "chosen")
+    marked = df.select(F.struct("*").alias("_row"), F.col(key).alias("_id"), F.xxhash64(F.col(text)).alias("_hash"))
+    kept = stored(marked.join(chosen, F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_mark"))).select(
+        "_row", "_id", "_hash", "_alone"), "kept")
+    # One key and text can be several rows still.
+    first = kept.filter(~F.col("_alone")).groupBy("_id", "_hash").agg(F.min("_row").alias("_row")).select("_row.*")
+    return kept.filter("_alone").select("_row.*").unionByName(first)

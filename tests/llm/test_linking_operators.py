@@ -157,6 +157,21 @@ def test_pipeline_stages(spark, sf_dir):
     assert len(coded) == kept.count() and all(len(r.ids) == r.n_tokens for r in coded)
 
 
+def test_near_duplicates_without_unique_ids(spark, sf_dir):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    copy = text("a") + " more"
+    rows = [(None, text("a")), (3, copy), (None, text("b")), (None, text("c")), (None, text("c") + " end"), (7, text("d")),
+            (7, text("e")), (7, text("e")), (8, text("e")), (None, None), (None, ""), (9, " "), (9, " ")]
+    docs = spark.createDataFrame(
+        [(i, t, "en", f"src{k}", len(t or "")) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir).select(*docs.columns).collect()
+    again = corpus_pipeline.near_duplicates(spark, docs.repartition(5, "source"), sf_dir).select(*docs.columns).collect()
+    assert sorted(got, key=str) == sorted(again, key=str)
+    kept = sorted(int(r.source[3:]) for r in got)
+    assert {1, 2, 5, 6, 9, 10, 11, 12} <= set(kept) and len(kept) == 9
+    assert len({3, 4} & set(kept)) == 1  # of two without an id, by the hash of the text
+
+
 def test_smallest_hashes():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**31, 3000)
