@@ -1,8 +1,15 @@
 """Mixing sources to target weights by fixed-length blocks, multinomial draws and index permutations.
 
-The words of a source, document after document, are packed into blocks of BLOCK words. The output is made of
-shards of SHARD slots. Each shard draws how many slots each source gets: the whole part of its expected number,
-and the remaining slots by multinomial draws on the fractions. A source's slots, numbered over all shards, map
+The words of a source, document after document, are cut into blocks of equal length, at most BLOCK words, and at
+least PIECES blocks if the source has as many words. A source expects as many slots as its target has blocks, and
+gets the whole number below or above by one draw on the fraction: then it is within a block of its target, however
+small it is and however many there are.
+
+With `equal=False`, blocks have BLOCK words but the last of a source, which is what the SQL of op7_block_mix states.
+The output is then made of shards of SHARD slots. Each shard draws how many slots each source gets: the whole part
+of its expected number, and the remaining slots by multinomial draws on the fractions. As a short last block counts
+as a whole one, and as chance may leave out what has few slots in many shards, a source of few blocks can stay far
+below its target. Either way, a source's slots, numbered over all shards, map
 to blocks through a pseudorandom permutation of the block indices (swap-or-not rounds), one pass after the
 other, so each block is taken either k or k + 1 times. Blocks are then joined by index.
 
@@ -24,6 +31,8 @@ SHARE = 1.5
 MOST = 2
 ROUNDS = 16
 CHUNKS = 4096
+#: Blocks of a source that is small, if it has as many words.
+PIECES = 32
 #: A Mersenne prime; the square of a value below it fits a long.
 PRIME = 2147483647
 
@@ -78,6 +87,48 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     ).drop("_level", "_final")
 
 
+def blocks_of(size: Column, block: int, equal: bool) -> Column:
+    """The number of blocks of a source of `size` words."""
+    whole = F.ceil(size / F.lit(block)).cast("bigint")
+    return F.greatest(whole, F.least(size, F.lit(PIECES))).cast("bigint") if equal else whole
+
+
+def block_start(index: Column, size: Column, block: int, equal: bool) -> Column:
+    """The first word of a block. Equal blocks differ by a word at most, the longer ones come first."""
+    if not equal:
+        return index * block
+    n = blocks_of(size, block, equal)
+    return index * F.floor(size / n).cast("bigint") + F.least(index, size % n)
+
+
+def block_at(word: Column, size: Column, block: int, equal: bool) -> Column:
+    """The index of the block that holds a word."""
+    if not equal:
+        return F.floor(word / F.lit(block)).cast("bigint")
+    n = blocks_of(size, block, equal)
+    short, longer = F.floor(size / n).cast("bigint"), size % n
+    beyond = word - longer * (short + 1)
+    return F.when(beyond < 0, F.floor(word / (short + 1))).otherwise(longer + F.floor(beyond / short)).cast("bigint")
+
+
+def even_slots(plan: DataFrame, block: int, most: int) -> DataFrame:
+    """Rows (rank, index, times) as of `slots`, of equal blocks: each source by its own expected number."""
+    width = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = blocks_of(F.col("source_size"), block, True)
+    # A draw by rank decides on the fraction, as whole numbers.
+    expected = F.col("target") / F.col("source_size") * n
+    part = F.round((expected - F.floor(expected)) * 1_000_000).cast("bigint")
+    drawn = (scramble(F.col("rank").cast("bigint") * 1_000_003 + 1) % 1_000_000 < part).cast("bigint")
+    counts = plan.filter("target > 0").select(
+        "rank", n.alias("n_blocks"), F.least(F.floor(expected).cast("bigint") + drawn, n * most).alias("n")).filter("n > 0")
+    # In stretches, so that the slots of a large source are made by many tasks.
+    stretches = counts.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {SHARD})")).alias("stretch"))
+    each = stretches.repartition(width, "rank", "stretch").select("rank", "n_blocks", F.explode(F.expr(
+        f"sequence(stretch * {SHARD}, least(n, (stretch + 1) * {SHARD}) - 1)")).alias("slot"))
+    mapped = permuted(each.withColumn("_place", F.col("slot") % F.col("n_blocks")), "_place", "n_blocks", "rank", "index")
+    return mapped.groupBy("rank", "index").agg(F.count(F.lit(1)).alias("times"))
+
+
 def slots(plan: DataFrame, block: int, shard: int, most: int) -> DataFrame:
     """Rows (rank, index, times): how often the mix takes each block that it takes.
 
@@ -88,7 +139,7 @@ def slots(plan: DataFrame, block: int, shard: int, most: int) -> DataFrame:
     upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = plan.filter("target > 0")
     shared = (
-        filled.withColumn("n_blocks", F.ceil(F.col("source_size") / F.lit(block)).cast("bigint"))
+        filled.withColumn("n_blocks", blocks_of(F.col("source_size"), block, False))
         .withColumn("_all", F.sum("target").over(every))
         .withColumn("_slots", F.greatest(F.lit(1), F.round(F.col("_all") / block)).cast("bigint"))
         .withColumn("n_shards", F.ceil(F.col("_slots") / F.lit(shard)).cast("bigint"))
@@ -144,7 +195,7 @@ def _chunk(df: DataFrame, key: str) -> Column:
 
 
 def _mixed(df: DataFrame, key: str, text: str, source: str, block: int, shard: int, weights: tuple[int, ...],
-           share: float, most: int, carry: bool) -> DataFrame:
+           share: float, most: int, equal: bool, carry: bool) -> DataFrame:
     """Rows of the mix: key, source, size, source_size, target, start, taken, and with `carry` the input row
     and the blocks that the mix takes of it."""
     rows = df.select(
@@ -159,16 +210,17 @@ def _mixed(df: DataFrame, key: str, text: str, source: str, block: int, shard: i
         rows, ["source"], _chunk(rows, "key"), [F.col("key").asc_nulls_first(), F.col("size"), F.col("mark")], "size", "start")
     known = placed.join(plan.alias("p"), placed["source"].eqNullSafe(F.col("p.source"))).select(
         placed["key"], placed["source"], "size", "start", "rank", "source_size", "target", *["row"] * carry)
-    parts = known.filter("size > 0").select("rank", "start", "size", F.explode(F.sequence(
-        F.floor(F.col("start") / F.lit(block)).cast("bigint"),
-        F.floor((F.col("start") + F.col("size") - 1) / F.lit(block)).cast("bigint"))).alias("index"))
-    overlap = (
-        F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * block) - F.greatest(F.col("start"), F.col("index") * block)
-    )
+    all_words = F.col("source_size")
+    parts = known.filter("size > 0").select("rank", "start", "size", "source_size", F.explode(F.sequence(
+        block_at(F.col("start"), all_words, block, equal),
+        block_at(F.col("start") + F.col("size") - 1, all_words, block, equal))).alias("index"))
+    overlap = F.least(F.col("start") + F.col("size"), block_start(F.col("index") + 1, all_words, block, equal)) - F.greatest(
+        F.col("start"), block_start(F.col("index"), all_words, block, equal))
+    chosen = even_slots(plan, block, most) if equal else slots(plan, block, shard, most)
     # A document is a stretch of its source: (rank, start) is its own, also among repeated rows.
     taken = (
         parts.select("rank", "start", "index", overlap.alias("n"))
-        .join(slots(plan, block, shard, most), ["rank", "index"])
+        .join(chosen, ["rank", "index"])
         .groupBy(F.col("rank").alias("_rank"), F.col("start").alias("_first")).agg(
             F.sum(F.col("n") * F.col("times")).alias("taken"),
             *[F.array_sort(F.collect_list(F.struct("index", "times"))).alias("blocks")] * carry)
@@ -182,21 +234,21 @@ def _mixed(df: DataFrame, key: str, text: str, source: str, block: int, shard: i
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-        most: int = MOST) -> DataFrame:
+        most: int = MOST, equal: bool = True) -> DataFrame:
     """One row per input row: key, source, size, source_size, target and taken, the words that the mix takes
-    from the document, repeats counted.
+    from the document, repeats counted. `shard` counts without `equal` only.
 
     Size is the number of words; null and empty texts have 0 and nothing taken. A null source is a source
     like any other. Repeated rows and repeated or null keys are documents of their own. Other columns are
     not carried, so their names can't clash. An empty table gives an empty table.
     """
-    out = _mixed(df, key, text, source, block, shard, weights, share, most, False)
+    out = _mixed(df, key, text, source, block, shard, weights, share, most, equal, False)
     return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "taken")
 
 
 def mixed_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                 block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-                most: int = MOST) -> DataFrame:
+                most: int = MOST, equal: bool = True) -> DataFrame:
     """The mix itself, with the columns of the input: one row for each time that words of a document are
     taken, at most `most`.
 
@@ -204,14 +256,15 @@ def mixed_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source:
     takes twice, and so on. A text that is taken whole stays as it is; of others the taken words are joined
     by spaces. Documents of which nothing is taken, null and empty texts among them, are left out.
     """
-    out = _mixed(df, key, text, source, block, shard, weights, share, most, True).filter("taken > 0")
+    out = _mixed(df, key, text, source, block, shard, weights, share, most, equal, True).filter("taken > 0")
     rounds = F.sequence(F.lit(1), F.aggregate("blocks", F.lit(0).cast("bigint"), lambda a, b: F.greatest(a, b["times"])).cast("int"))
-    each = out.select("row", "size", "start", "blocks", F.explode(rounds).alias("round"))
+    each = out.select("row", "size", "source_size", "start", "blocks", F.explode(rounds).alias("round"))
     body = F.col(f"row.`{text}`")
 
     def cut(words: Column) -> Column:
-        first = lambda b: F.greatest(b["index"] * block - F.col("start"), F.lit(0))
-        last = lambda b: F.least((b["index"] + 1) * block - F.col("start"), F.col("size"))
+        at = lambda index: block_start(index, F.col("source_size"), block, equal) - F.col("start")
+        first = lambda b: F.greatest(at(b["index"]), F.lit(0))
+        last = lambda b: F.least(at(b["index"] + 1), F.col("size"))
         some = F.filter("blocks", lambda b: b["times"] >= F.col("round"))
         taken = F.flatten(F.transform(some, lambda b: F.slice(words, (first(b) + 1).cast("int"), (last(b) - first(b)).cast("int"))))
         return let(taken, lambda t: F.when(F.size(t) == F.col("size"), body).otherwise(F.array_join(t, " ")))

@@ -140,6 +140,25 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixing_many_small_sources(spark):
+    random.seed(11)
+    rows, size = [], {}
+    for i in range(6000):
+        for _ in range(random.choice((1, 1, 2))):
+            n = random.randrange(1, 300)
+            rows.append((len(rows), " ".join(f"w{k}" for k in range(n)), f"s{i}"))
+            size[f"s{i}"] = size.get(f"s{i}", 0) + n
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    # A source is within a block of its target, and blocks differ by a word at most.
+    off = [r for r in got if abs(r.taken - r.target) > 2 * (size[r.source] // min(size[r.source], mixing.PIECES) + 1) + 0.05 * r.target]
+    total, want = sum(r.taken for r in got), 1.5 * sum(size.values())
+    assert not off and abs(total - want) <= 0.002 * want, (len(off), total / want)
+    texts = mixing.mixed_texts(df.filter("doc_id < 500"))
+    words = lambda d: d.agg(F.sum(F.size(F.split("text", " ")))).first()[0]
+    assert words(texts) == mixing.mix(df.filter("doc_id < 500")).agg(F.sum("taken")).first()[0]
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "secret_scan", "mix", "encode"]
