@@ -56,9 +56,17 @@ BASE = (
     # Runs of the class are maximal, so a run of 16 or more is found at its start either way.
     Rule("hex", r"[0-9a-f]{16,}", 16),
 )
+# From BEGIN to its END, if no other BEGIN comes before; else header lines and all base64 that follows: long runs,
+# and lines of nothing else.
+PEM = (
+    r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?)-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1-----"
+    r"|(?:\s*(?:Proc-Type|DEK-Info|Version|Comment): [^\n]*)*"
+    r"(?:(?:\s|\\[nr])*(?:[A-Za-z0-9+/=]{20,}|(?:(?<=\n)|(?<=\\n))[A-Za-z0-9+/=]+(?=[ \t\r]*(?:\n|\Z)|\\[nr])))*)"
+)
 #: Well-known token formats that the base rules miss.
 FURTHER = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs=("-----BEGIN ",)),
+    Rule("pem", PEM, needs=("-----BEGIN ",)),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", needs=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needs=("eyJ",)),
 )
