@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline.llm import bpe_sql, minhash, mixing, quality, secrets
 from shelfline.llm.frames import stored, table
 from shelfline.llm.queries import MULTI
-from shelfline.session import run_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -27,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, found secrets masked."""
-    found = secrets.scan(docs, run_dir(spark, "secret-ledger"))
+    found = secrets.scan(docs, secrets.ledger_of(spark))
     masked = found.withColumn("text", secrets.masked("text", F.col("findings")))
     return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 

@@ -11,7 +11,6 @@ from shelfline.llm import (
     bpe_sql, minhash, mixing, quality, rabitq, secrets, substrings, token_count, toxicity, url_templates,
 )
 from shelfline.llm.frames import table
-from shelfline.session import run_dir
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
 SINGLE = "byte_bpe_50k.json"
@@ -45,7 +44,7 @@ def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, run_dir(spark, "secret-ledger"))
+    found = secrets.scan(docs, secrets.ledger_of(spark))
     base = F.filter("findings", lambda f: f["rule"] < len(secrets.BASE))
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
     return found.select(

@@ -17,9 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.llm.frames import stored
+from shelfline.session import run_dir
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,15 @@ def _scanned(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return todo.mapInArrow(run, LEDGER)
 
 
+#: The session setting that names the ledger's folder, which all executors reach.
+LEDGER_SETTING = "spark.shelfline.secretLedger"
+
+
+def ledger_of(spark: SparkSession) -> str:
+    """The ledger that the session names, kept between runs, or else a new one."""
+    return spark.conf.get(LEDGER_SETTING, None) or run_dir(spark, "secret-ledger")
+
+
 def scan(df: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "findings") -> DataFrame:
     """Adds `out`, the findings of the current rules in each row's whole text, sorted by start and kind.
 
