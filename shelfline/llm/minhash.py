@@ -12,9 +12,12 @@ that. In the others, nodes of different components are compared block by block o
 first for the best partner of each node outside the block's largest component, then, for what is still apart, for
 all pairs that neither the registers nor the sets' smallest hashes rule out. Sets of up to LOWEST shingles have all
 their hashes there, so of such sets only true links become rows. A band with more than CROSS such comparisons a node is
-dealt out again by a second band before, so that nodes that agree in one frequent passage only part ways.
+dealt out again by a second band before, so that nodes that agree in one frequent passage only part ways. The second
+band is one of the same 32 or of 32 others, of registers that lie far apart, so that a pair with no other band in
+common is met there too.
 
-With 32 bands of four, a pair at similarity 0.75 has no band in common with probability 5e-6.
+With 32 bands of four, a pair at similarity 0.75 has no band in common with probability 5e-6. It has one only with
+probability 8e-5, and then, by a rough count, none of the 32 others in 0.2% of cases: that adds 2e-7 at most.
 """
 
 from __future__ import annotations
@@ -148,6 +151,13 @@ def bands(nodes: DataFrame) -> DataFrame:
         F.col("cut") != F.lit(bytes(width))).select(F.xxhash64("cut", "band").alias("key"), "band", "node")
 
 
+def far_bands(nodes: DataFrame) -> DataFrame:
+    """Rows (key, node): as `bands`, of every BANDS-th register instead of neighbours."""
+    each = F.array(*[F.concat(*[F.substring("registers", 2 * (i + k * BANDS) + 1, 2) for k in range(ROWS)]) for i in range(BANDS)])
+    return nodes.select("node", F.posexplode(each).alias("band", "cut")).filter(
+        F.col("cut") != F.lit(bytes(2 * ROWS))).select(F.xxhash64("cut", F.col("band") + BANDS).alias("key"), "node")
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that the registers don't rule out."""
     side = lambda c: nodes.select(
@@ -279,7 +289,7 @@ def _open(members: DataFrame, links: DataFrame) -> DataFrame:
     return stored(owned.join(stored(counts, "open-keys"), "key"), "open")
 
 
-def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+def near_links(nodes: DataFrame, documents: DataFrame, cross: int = CROSS) -> DataFrame:
     """Confirmed links (a, b) between nodes (node, rep, n, registers): enough to connect whatever links
     connect. Texts come from (key, mark, text) by `rep`, once, for nodes that share a band with another."""
     keyed = bands(nodes)
@@ -302,20 +312,22 @@ def near_links(nodes: DataFrame, documents: DataFrame) -> DataFrame:
         unsettled = _open(members, links)
         if unsettled.isEmpty():
             break
-        heavy = F.col("cross") > CROSS * F.col("m") if depth == 1 else F.lit(False)
+        heavy = F.col("cross") > cross * F.col("m") if depth == 1 else F.lit(False)
         links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, sets, True), sets))
         unsettled = _open(members, links)
         links = links.unionByName(_confirmed(_crossing(unsettled.filter(~heavy), nodes, sets, False), sets))
         split = unsettled.filter(heavy)
         if split.isEmpty():
             break
+        again = shared.select("node", "key").unionByName(
+            far_bands(nodes.join(split.select("node").distinct(), "node", "left_semi")).select("node", "key"))
         members = stored(
-            split.select(F.col("key").alias("first"), "node").join(shared.select("node", F.col("key").alias("second")), "node")
+            split.select(F.col("key").alias("first"), "node").join(again.select("node", F.col("key").alias("second")), "node")
             .filter("first <> second").select(F.xxhash64("first", "second").alias("key"), "node"), "second-bands")
     return links
 
 
-def _grouped(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _grouped(df: DataFrame, key: str, text: str, cross: int) -> tuple[DataFrame, DataFrame]:
     """The signatures, and rows (node, rep, least, root) of the shingle sets, root naming the component."""
     rows = stored(signatures(df, key, text), "signatures")
     documents = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
@@ -325,11 +337,11 @@ def _grouped(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
         rows.filter("node IS NOT NULL").groupBy("node").agg(
             F.min(first).alias("rep"), F.min("key").alias("least"),
             F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
-    roots = components(near_links(nodes, documents))
+    roots = components(near_links(nodes, documents, cross))
     return rows, nodes.join(roots, "node", "left").select("node", "rep", "least", F.coalesce("root", "node").alias("root"))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", cross: int = CROSS) -> DataFrame:
     """Rows (key, n_shingles, component_id, kept), one per input row.
 
     component_id is the smallest key that links reach, kept whether it is the row's own. Null, empty and
@@ -338,7 +350,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     same key, are all kept or none. Other columns are not carried, so their names can't clash. An empty
     table gives an empty table.
     """
-    rows, labelled = _grouped(df, key, text)
+    rows, labelled = _grouped(df, key, text, cross)
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = labelled.join(smallest, "root").select(F.col("node").alias("_node"), "component_id")
     joined = rows.join(classes, F.col("node") == F.col("_node"), "left")
@@ -348,7 +360,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         component.eqNullSafe(F.col("key")).alias("kept"))
 
 
-def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", cross: int = CROSS) -> DataFrame:
     """The input without near copies, its columns as they are: of each component the row with the smallest key
     (null after all others), then the smallest hash of the text, then the smallest other columns.
 
@@ -356,7 +368,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     different texts under one key, or without a key, are rows of their own. Other columns must be of types that
     can be put in order. An empty table gives an empty table.
     """
-    rows, labelled = _grouped(df, key, text)
+    rows, labelled = _grouped(df, key, text, cross)
     chosen = labelled.groupBy("root").agg(F.min("rep").alias("rep")).select(
         F.col("rep.key").alias("_key"), F.col("rep.mark").alias("_mark"), F.lit(False).alias("_alone"))
     alone = rows.filter("node IS NULL").select("key", "mark", F.lit(True)).distinct()

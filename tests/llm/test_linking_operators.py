@@ -191,6 +191,38 @@ def test_near_duplicates_without_unique_ids(spark, sf_dir):
     assert len({3, 4} & set(kept)) == 1  # of two without an id, by the hash of the text
 
 
+def test_a_link_by_one_heavy_band(spark):
+    rng = np.random.default_rng(4)
+    draw = lambda: rng.integers(1 << 10, 1 << 14, 128).astype(np.uint16)
+    rows = [draw() for _ in range(12)]
+    # All share band 0. Nodes 0 and 1 share no other, but three registers of each; 2 is the hub, by bands shared with 3.
+    rows[1] = np.where(np.arange(128) % 4 == 3, rows[1], rows[0])
+    rows[3][4:40] = rows[2][4:40]
+    for r in rows:
+        r[:4] = rows[0][:4]
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(12)]
+    texts[1] = texts[0] + " more"
+    documents = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "key long, mark long, text string")
+    nodes = spark.createDataFrame(
+        [(bytes([i]), (False, i, i), 56, r.tobytes()) for i, r in enumerate(rows)],
+        "node binary, rep struct<none:boolean,key:long,mark:long>, n long, registers binary")
+    for cross in (0, minhash.CROSS):
+        found = {(bytes(r.a), bytes(r.b)) for r in minhash.near_links(nodes, documents, cross).collect()}
+        assert found == {(b"\0", b"\1")}, cross
+
+
+def test_near_duplicates_by_second_bands(spark):
+    random.seed(12)
+    word = lambda: "".join(random.choice("abcdefg") for _ in range(4))
+    passage, texts = [word() for _ in range(40)], []
+    for _ in range(30):
+        base = [*passage, *(word() for _ in range(40))]
+        texts += [" ".join(base), " ".join([*base, word(), word()])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = minhash.near_duplicates(df, cross=0).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i // 2 * 2) for i in range(60)]
+
+
 def test_smallest_hashes():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**31, 3000)
