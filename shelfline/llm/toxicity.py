@@ -30,7 +30,7 @@ RIDGE = 1e-4
 PENALTY = 1.0
 STEPS = 300
 
-#: Terms for groups of people by kind; a term is swapped for the others of its kind.
+#: Terms for groups of people by kind and language; a term is swapped for the others of its kind. None is in two kinds.
 IDENTITY = (
     ("women", "men", "girls", "boys"),
     ("woman", "man", "girl", "boy"),
@@ -40,6 +40,30 @@ IDENTITY = (
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("immigrants", "foreigners", "refugees", "natives"),
     ("old", "young", "disabled"),
+    ("frauen", "männer", "mädchen", "jungs"),
+    ("frau", "mann"),
+    ("schwarze", "weiße", "asiaten", "araber"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("muslimische", "christliche", "jüdische", "hinduistische", "buddhistische", "atheistische"),
+    ("schwul", "heterosexuell", "lesbisch", "bisexuell"),
+    ("einwanderer", "ausländer", "flüchtlinge", "einheimische"),
+    ("alte", "junge", "behinderte"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("femme", "homme", "fille", "garçon"),
+    ("noirs", "blancs", "asiatiques", "arabes"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("hétérosexuel", "homosexuel", "lesbienne", "bisexuel", "transgenre"),
+    ("immigrés", "étrangers", "réfugiés", "autochtones"),
+    ("vieux", "jeunes", "handicapés"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("mujer", "hombre", "niña", "niño"),
+    ("negros", "blancos", "asiáticos", "árabes"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("heterosexual", "homosexual", "lesbiana", "transgénero"),
+    ("inmigrantes", "extranjeros", "refugiados", "nativos"),
+    ("mayores", "jóvenes", "discapacitados"),
 )
 
 _word = re.compile(r"[^\W\d_]+").findall
@@ -66,10 +90,13 @@ def swapped(text: str, kinds: tuple[tuple[str, ...], ...] = IDENTITY) -> Iterato
 
 @dataclass
 class Model:
-    """Weights by feature; without labels every score is 0."""
+    """Weights by feature; without labels every score is 0. `pairs` counts the swapped sentences, and `moved` those
+    of them that change a feature of the model: only these weigh in the penalty."""
 
     bias: float = -np.inf
     weights: dict[str, float] = field(default_factory=dict)
+    pairs: int = 0
+    moved: int = 0
 
     def score(self, text: str | None) -> float:
         found = self.weights.keys() & features(text) if self.weights else ()
@@ -112,7 +139,11 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, penalty
                 row[index[f]] += sign
         return row
 
-    changes = [row for t in texts for row in map(change, swapped(t, kinds)) if row.any()]
+    pairs, changes = 0, []
+    for row in (change(pair) for t in texts for pair in swapped(t, kinds)):
+        pairs += 1
+        if row.any():
+            changes.append(row)
     moved = np.array(changes) if changes else np.zeros((0, len(index)), np.float32)
     # Adam over the whole sample: logistic loss, ridge, and the squared change of score under swaps.
     w, bias = np.zeros(len(index)), float(np.log(n1 / (n - n1)))
@@ -127,11 +158,11 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, penalty
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
     bias += prior - float(np.log(n1 / (n - n1)))
-    return Model(float(bias), {f: float(w[k]) for f, k in index.items() if w[k]})
+    return Model(float(bias), {f: float(w[k]) for f, k in index.items() if w[k]}, pairs, len(changes))
 
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
+          sample: int = SAMPLE, penalty: float = PENALTY, kinds: tuple[tuple[str, ...], ...] = IDENTITY) -> Model:
     """Fits on at most `sample` labelled texts of each label. Rows without key, label or text are left out;
     of repeated labels of a key the highest counts."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
@@ -151,7 +182,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     for r in found:
         texts.append(r["text"])
         marks.append(r["label"])
-    return fit(texts, marks, by_label.get(1, 0) / total, penalty)
+    return fit(texts, marks, by_label.get(1, 0) / total, penalty, kinds)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

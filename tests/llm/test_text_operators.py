@@ -199,6 +199,21 @@ def test_neutral_mentions_under_the_penalty(spark):
     assert [0 <= r.score <= 1 for r in toxicity.score(df, fair).collect()] == [True, True]
 
 
+def test_neutral_mentions_in_other_languages(spark):
+    terms = [t for kind in toxicity.IDENTITY for t in kind]
+    assert len(terms) == len(set(terms))
+    random.seed(2)
+    other = lambda: " ".join(random.choice("stone river cloud field road tree house lamp".split()) for _ in range(12))
+    for one, two, bad in (("die muslime", "die christen", "abschaum"), ("les musulmans", "les juifs", "vermine"), ("los inmigrantes", "los nativos", "escoria")):
+        texts = [f"{other()}. {one} {bad}. {other()}" for _ in range(60)] + [f"{other()}. {two}. {other()}" for _ in range(60)]
+        labels = [1] * 60 + [0] * 60
+        plain, fair = (toxicity.fit(texts, labels, penalty=p) for p in (0.0, 20.0))
+        assert fair.moved > 0 and fair.score(one) < plain.score(one), one
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    assert toxicity.train(df, marks).pairs == 360 and toxicity.train(df, marks, kinds=()).pairs == 0
+
+
 def test_url_verdicts(spark):
     urls = [None, "", "no scheme", "http://EXAMPLE.net/en/1", "http://a.net/x", "http://net/", "https://b.org/fr/3?q", "http://xnet/",
             "http://c.example.com/de/1#a", "http://c.net", "ftp://u://v/w"]
