@@ -250,6 +250,7 @@ ORACLES: dict[str, str] = {
     "title_words": _catalog(_words("game_title", "staged"), _STAGED),
     "title_words_letters": _catalog(_words("publisher", "staged", r"[^\p{L}]+"), _STAGED),
     "document_words": _words("text", "documents"),
+    "document_words_letters": _words("text", "documents", r"[^\p{L}]+"),
     "word_cloud_200": f"SELECT * FROM ({_words('text', 'documents')}) ORDER BY word_count DESC, word LIMIT 200",
     "tier_labels": _catalog(
         f"SELECT appid, dt, owners, {_LO} AS lo, {_HI} AS hi, {_LABEL} AS label FROM catalog_daily"

@@ -152,6 +152,12 @@ def document_words(spark, sf_dir):
     return token_counts(texts, "text")
 
 
+@query
+def document_words_letters(spark, sf_dir):
+    texts = read_table(spark, sf_dir, "documents").select("text")
+    return token_counts(texts, "text", letters_only=True)
+
+
 @query
 def word_cloud_200(spark, sf_dir):
     return catalog.word_cloud(document_words(spark, sf_dir))

@@ -27,3 +27,9 @@ def test_matches_sql(spark, duck, sf_dir, name):
 def test_entry(spark):
     rows = entry(spark).collect()
     assert [r["rank"] for r in sorted(rows, key=lambda r: r["rank"])] == list(range(1, 51))
+
+
+def test_letters_separate_words_of_documents(spark, sf_dir):
+    plain, letters = ({r.word for r in REGISTRY[name](spark, sf_dir).collect()} for name in ("document_words", "document_words_letters"))
+    # Digits are words in the first only.
+    assert any(w.isdigit() for w in plain) and not any(c.isdigit() for w in letters for c in w) and len(letters & plain) > 1000
