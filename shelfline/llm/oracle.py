@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import mixing
+from shelfline.llm import mixing, sharding, vector_codes
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), lambda x: x <> '')"
 
@@ -78,4 +78,62 @@ SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_
 FROM n LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) ON a = doc_id
 """
 
-ORACLES = {"op7_block_mix": BLOCK_MIX, "op8_hyperminhash": NEAR_DUPLICATES}
+INTERLEAVED_SHARDS = f"""
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+             lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, source, coalesce(text, '') AS text, strlen(coalesce(text, '')) + {sharding.OVERHEAD} AS size FROM documents),
+b AS (SELECT *, flatten(list_transform(string_split(text, ''), lambda x: CASE
+        WHEN unicode(x) < 128 THEN [greatest(unicode(x), 0)]
+        WHEN unicode(x) < 2048 THEN [192 + unicode(x) // 64, 128 + unicode(x) % 64]
+        WHEN unicode(x) < 65536 THEN [224 + unicode(x) // 4096, 128 + unicode(x) // 64 % 64, 128 + unicode(x) % 64]
+        ELSE [240 + unicode(x) // 262144, 128 + unicode(x) // 4096 % 64, 128 + unicode(x) // 64 % 64, 128 + unicode(x) % 64]
+      END))::bigint[] AS bytes FROM d),
+m AS (SELECT doc_id, source, size::bigint AS size, xor(4294967295, list_reduce(list_prepend(4294967295, CASE WHEN text = '' THEN [] ELSE bytes END),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc,
+        md5(concat_ws(chr(31), '{sharding.SEED}', coalesce(source, ''), coalesce(doc_id::varchar, ''), text)) AS mark FROM b, t),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY mark, doc_id, size) - 1 + 0.5::double)
+        / count(*) OVER (PARTITION BY source)::double AS fraction FROM m),
+p AS (SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST) - 1 AS place, count(*) OVER () AS n FROM r),
+s AS (SELECT *, place * {sharding.SHARDS} // n AS shard FROM p)
+SELECT doc_id, size, crc::bigint AS text_crc32, 'rows' AS law, shard::int AS shard,
+  (place - (shard * n + {sharding.SHARDS - 1}) // {sharding.SHARDS})::bigint AS slot, NULL::int AS grown_shard
+FROM s
+"""
+
+
+def _codes() -> str:
+    """One assignment and one move of the entries a round, and a last assignment."""
+    parts, entries, whole = vector_codes.PARTS, vector_codes.ENTRIES, []
+    for r in range(vector_codes.ROUNDS + 1):
+        whole.append(f"""
+a{r} AS MATERIALIZED (SELECT id, vec_id, label, part, x, best % {entries} AS entry, best // {entries} AS far FROM (
+  SELECT id, vec_id, label, p.part, any_value(x) AS x, min(entry + {entries} * list_sum(list_transform(range(1, len(x) + 1),
+      lambda i: (x[i] - c[i]) * (x[i] - c[i])))::bigint) AS best
+  FROM p JOIN c{r} c ON c.part = p.part GROUP BY ALL))""")
+        if r < vector_codes.ROUNDS:
+            whole.append(f"""
+s{r} AS (SELECT part, entry, i, sum(x[i])::bigint AS s, count(*) AS n
+         FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (
+  SELECT part, entry, list((s - (s % n + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY ALL) m USING (part, entry))""")
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS id, vec_id, label,
+             list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::double)::bigint) AS v
+           FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS MATERIALIZED (SELECT id, vec_id, label, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS x
+                   FROM (SELECT *, unnest(range({parts})) AS part FROM k)),
+c0 AS MATERIALIZED (SELECT part, id - 1 AS entry, x AS c FROM p WHERE id <= {entries}),{",".join(whole)},
+f AS (SELECT id, vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::bigint AS error
+      FROM a{vector_codes.ROUNDS} GROUP BY ALL)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::bigint AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM c{vector_codes.ROUNDS}) AS codebooks_sha256
+FROM f
+"""
+
+
+SLICED_CODES = _codes()
+
+ORACLES = {
+    "op7_block_mix": BLOCK_MIX, "op8_hyperminhash": NEAR_DUPLICATES, "op12_interleaved_shards": INTERLEAVED_SHARDS,
+    "op13_sliced_codes": SLICED_CODES,
+}

@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    bpe_sql, minhash, mixing, quality, rabitq, secrets, substrings, token_count, toxicity, url_templates,
+    alignment, bpe_sql, minhash, mixing, quality, rabitq, secrets, sharding, substrings, token_count, toxicity,
+    url_templates, vector_codes,
 )
-from shelfline.llm.frames import table
+from shelfline.llm.frames import stored, table
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
 SINGLE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 #: The rules of the page query.
 URL_RULES = (
     url_templates.Rule("block", "net/"),
@@ -95,10 +97,30 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path(SINGLE), public_tokenizers.path(PIECES)
+    # Both the counts and the documents' sums read it.
+    aligned = stored(alignment.align(docs, *paths, keep=["doc_id"]), "aligned")
+    counts = alignment.shared_counts(alignment.link_counts(aligned))
+    return alignment.summaries(aligned, counts, ["doc_id"])
+
+
+def op12_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_sliced_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_counterfactual_toxicity, op3_secret_ledger, op4_ngram_quality, op5_binary_code_vectors,
         op6_heap_token_counts, op7_block_mix, op8_hyperminhash, op9_radix_repeats, op10_url_templates,
+        op11_fragment_alignment, op12_interleaved_shards, op13_sliced_codes,
     )
 }
