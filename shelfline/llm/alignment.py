@@ -41,9 +41,11 @@ from shelfline.llm.token_count import byte_letters
 SPAN = 1 << 16
 #: Neighbours that one step of the tree composes (twice as many at most, as a piece may end in a short fragment).
 FAN = 16
-SLICE = 2_000_000
-KEPT = 400_000
-KEPT_IDS = 8_000_000
+SLICE = 1_000_000
+KEPT = 250_000
+KEPT_IDS = 4_000_000
+#: Tokens of aligned rows that a worker handles at a time; a row at least.
+TOKENS = 400_000
 RESULTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 #: Neither tokenizer has a token that crosses from a sign to a space and goes on after it.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -314,6 +316,15 @@ def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep: lis
     return both.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *RESULTS)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about TOKENS tokens."""
+    for batch in batches:
+        sizes = sum(np.asarray(batch.column(batch.schema.get_field_index(c)).value_lengths().fill_null(0)) for c in RESULTS[:2])
+        places = np.flatnonzero(np.diff(np.cumsum(sizes) // TOKENS)) + 1
+        for first, last in zip([0, *places], [*places, batch.num_rows]):
+            yield batch.slice(first, last - first)
+
+
 def _lists(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     """Values and lengths of the RESULTS of a batch."""
     found = [batch.column(batch.schema.get_field_index(name)) for name in RESULTS]
@@ -335,7 +346,7 @@ def link_counts(aligned: DataFrame) -> DataFrame:
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             found, n = np.unique(_links(_lists(batch)), return_counts=True)
             keys, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
             counts = np.bincount(place, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
@@ -371,7 +382,7 @@ def summaries(aligned: DataFrame, counts: Broadcast, keep: list[str]) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times, best = counts.value
-        for batch in batches:
+        for batch in _slices(batches):
             lists = _lists(batch)
             n_a, n_b, n_groups = lists[0][1], lists[1][1], lists[2][1]
             doc = np.repeat(np.arange(batch.num_rows), n_groups)

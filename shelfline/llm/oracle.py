@@ -91,8 +91,10 @@ b AS (SELECT *, flatten(list_transform(string_split(text, ''), lambda x: CASE
 m AS (SELECT doc_id, source, size::bigint AS size, xor(4294967295, list_reduce(list_prepend(4294967295, CASE WHEN text = '' THEN [] ELSE bytes END),
         lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc,
         md5(concat_ws(chr(31), '{sharding.SEED}', coalesce(source, ''), coalesce(doc_id::varchar, ''), text)) AS mark FROM b, t),
-r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY mark, doc_id, size) - 1 + 0.5::double)
-        / count(*) OVER (PARTITION BY source)::double AS fraction FROM m),
+o AS (SELECT *, md5(mark || ':' || (row_number() OVER (PARTITION BY source, doc_id, mark) - 1)) AS o FROM m),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY o) - 1
+        + (('0x' || substr(md5(concat_ws(chr(31), '{sharding.SEED}', source)), 1, 8))::bigint + 0.5::double) / 4294967296::double)
+        / count(*) OVER (PARTITION BY source)::double AS fraction FROM o),
 p AS (SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST) - 1 AS place, count(*) OVER () AS n FROM r),
 s AS (SELECT *, place * {sharding.SHARDS} // n AS shard FROM p)
 SELECT doc_id, size, crc::bigint AS text_crc32, 'rows' AS law, shard::int AS shard,

@@ -1,8 +1,9 @@
 """Shards by proportional stratified interleaving.
 
 Within each source, rows are put in a seeded order and ranked. Row r of a source with n rows has the fractional rank
-(r + 1/2) / n. All rows are put in order of it, so that any stretch of that order holds each source in
-proportion, to within a row, and the order is cut into shards whose counts differ by one at most.
+(r + u) / n, where u in (0, 1) is the source's own, by a hash: else sources of one row would all meet at 1/2. All rows are put in
+order of it, so that any stretch of that order holds each source in proportion, to within a row, and the
+order is cut into shards whose counts differ by one at most.
 
 No source, and not the whole, is put in order by one task. Both orders are summed in two levels: the seeded order is
 that of an MD5 of the row, whose first digits deal a source evenly into chunks; fractional ranks of every source are even
@@ -34,6 +35,12 @@ def mark(columns: list[tuple[str, bool]], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("\x1f", F.lit(str(seed)), *parts).cast("binary"))
 
 
+def phase(source: Column, seed: int = SEED) -> Column:
+    """A number between 0 and 1 for each source."""
+    digits = F.substring(F.md5(F.concat_ws("\x1f", F.lit(str(seed)), source.cast("string")).cast("binary")), 1, 8)
+    return (F.conv(digits, 16, 10).cast("bigint") + 0.5) / float(1 << 32)
+
+
 def _marked(df: DataFrame, key: str, text: str, source: str, seed: int) -> Column:
     others = [c for c in df.columns if c not in (key, text, source)]
     return mark([(source, True), (key, True), *((c, False) for c in others), (text, True)], seed)
@@ -52,16 +59,17 @@ def plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "
     rows = df.select(
         F.col(source).alias("source"), F.col(key).alias("key"), _marked(df, key, text, source, seed).alias("mark"),
         (F.octet_length(body) + OVERHEAD).cast("bigint").alias("size"), F.crc32(body.cast("binary")).alias("crc"))
-    distinct = stored(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")), "rows")
-    ranked = running_total(
-        distinct, ["source"], F.substring("mark", 1, DIGITS), [F.col("mark"), F.col("key"), F.col("size")], "copies", "first")
-    totals = distinct.groupBy("source").agg(F.sum("copies").alias("n"))
-    known = ranked.join(totals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    fraction = (F.col("first") + F.col("copy") + 0.5) / F.col("n")
-    each = _multiplied(known).select("source", "key", "mark", "size", "crc", fraction.alias("fraction"), F.lit(1).alias("one"))
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    each = _multiplied(stored(distinct, "rows")).withColumn("one", F.lit(1))
+    own = F.md5(F.concat_ws(":", "mark", F.col("copy").cast("string")).cast("binary"))
+    each = each.withColumn("order", own).drop("copies", "copy")
+    ranked = running_total(each, ["source"], F.substring("order", 1, DIGITS), [F.col("order")], "one", "rank")
+    totals = each.groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("source", "_source")
+    known = ranked.join(totals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    known = known.withColumn("fraction", (F.col("rank") + phase(F.col("source"), seed)) / F.col("n"))
     stretch = F.floor(F.col("fraction") * STRETCHES)
     # A source has each fraction once.
-    placed = running_total(each, [], stretch, [F.col("fraction"), F.col("source").asc_nulls_last()], "one", "place")
+    placed = running_total(known, [], stretch, [F.col("fraction"), F.col("source").asc_nulls_last()], "one", "place")
     n = totals.agg(F.sum("n")).first()[0] or 0
     shard = F.expr(f"place * {shards} div {max(n, 1)}")
     start = F.expr(f"(shard * {n} + {shards - 1}) div {shards}")
@@ -71,7 +79,7 @@ def plan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "
 
 
 def _multiplied(rows: DataFrame) -> DataFrame:
-    """A row for each of `copies`, numbered; many copies of a row are made by many tasks."""
+    """A row for each of `copies`, numbered from 0; many copies of a row are made by many tasks."""
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few, many = rows.filter(f"copies <= {COPIES}"), rows.filter(f"copies > {COPIES}")
     made = few.select("*", F.explode(F.expr("sequence(0L, copies - 1)")).alias("copy"))
