@@ -41,9 +41,11 @@ from shelfline.llm.token_count import byte_letters
 SPAN = 1 << 16
 #: Neighbours that one step of the tree composes (twice as many at most, as a piece may end in a short fragment).
 FAN = 16
-SLICE = 1_000_000
-KEPT = 250_000
+SLICE = 500_000
+KEPT = 150_000
 KEPT_IDS = 4_000_000
+#: Units that the libraries get at a time.
+BATCH = 2_000
 #: Tokens of aligned rows that a worker handles at a time; a row at least.
 TOKENS = 400_000
 RESULTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
@@ -136,8 +138,12 @@ class Aligner:
 
     def learn(self, units: list[str]) -> None:
         """Encodes units and groups their tokens. A unit whose tokens don't spell it has none."""
-        ids_a = [x.ids for x in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        ids_b = self.b.encode(units, num_threads=1)
+        ids_a, ids_b = [], []
+        # The library's result of a unit is large beside its ids.
+        for at in range(0, len(units), BATCH):
+            some = units[at:at + BATCH]
+            ids_a += [x.ids for x in self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
+            ids_b += self.b.encode(some, num_threads=1)
         same = np.zeros(len(units), bool)
         for i, unit in enumerate(units):
             want = b" " + unit.encode()
