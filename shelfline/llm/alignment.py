@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
 from shelfline.llm.frames import stored
@@ -46,8 +46,6 @@ KEPT = 150_000
 KEPT_IDS = 4_000_000
 #: Units that the libraries get at a time.
 BATCH = 2_000
-#: Tokens of aligned rows that a worker handles at a time; a row at least.
-TOKENS = 400_000
 RESULTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 #: Neither tokenizer has a token that crosses from a sign to a space and goes on after it.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -127,6 +125,8 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        # Bits of an id of B in the number of a link.
+        self.bits = len(pieces).bit_length()
         self.clear()
 
     def clear(self) -> None:
@@ -188,6 +188,12 @@ class Aligner:
             counts.append(np.bincount(text_of, weights=lengths, minlength=len(cut)).astype(np.int64))
         return same, values, counts
 
+    def links(self, lists: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The last ids of A and B of each group as one number, of 4 bytes if all such numbers fit."""
+        (a, _), (b, _), (size_a, _), (size_b, _) = lists
+        found = (a[np.cumsum(size_a) - 1].astype(np.int64) << self.bits) | b[np.cumsum(size_b) - 1]
+        return found.astype("<i4" if len(self.bytes_a) << self.bits <= 1 << 31 else "<i8")
+
     def fragments(self, text: str, start: int, span: int) -> Iterator[tuple[int, bool, Fragment]]:
         """Fragments of `span` bytes of a piece of a text that begins at byte `start`: (first byte, spelt, fragment)."""
         same, (a, b, size_a, size_b), _ = self.align([text])
@@ -291,6 +297,23 @@ def _long(rows: DataFrame, path_a: str, path_b: str, span: int) -> DataFrame:
         "row", F.col("a").alias("a_ids"), F.col("b").alias("b_ids"), "a_sizes", "b_sizes")
 
 
+def _rows_of(df: DataFrame, text: str, keep: list[str] | None, span: int) -> tuple[list[str], DataFrame, DataFrame]:
+    """The columns to keep, and (row, text) of texts up to `span` bytes, null ones too, and of longer ones."""
+    kept = [c for c in (keep or df.columns) if c not in RESULTS]
+    rows = df.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    long = F.coalesce(F.octet_length("text") > span, F.lit(False))
+    return kept, rows.filter(~long), rows.filter(long)
+
+
+def _aligned(batches: Iterator[pa.RecordBatch], own: Aligner) -> Iterator[tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Of batches (row, text): rows, and the values and lengths of their RESULTS, in slices."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        for first, last in chunks(texts, SLICE):
+            _, values, counts = own.align(texts[first:last])
+            yield batch.column(0).slice(first, last - first), list(zip(values, counts))
+
+
 def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep: list[str] | None = None,
           span: int = SPAN) -> DataFrame:
     """Adds a_ids and b_ids, the tokens of the space and the whole text, and a_sizes and b_sizes, how many of them
@@ -301,110 +324,112 @@ def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep: lis
     empty table gives an empty table. Long texts may stand in any number of tasks, a single unit of a text (a run
     without a space between other signs) is encoded by one.
     """
-    kept = [c for c in (keep or df.columns) if c not in RESULTS]
-    rows = df.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
-    long = F.coalesce(F.octet_length("text") > span, F.lit(False))
-    schema = StructType([rows.schema["row"], *(StructField(name, INTS) for name in RESULTS)])
+    kept, short, long = _rows_of(df, text, keep, span)
+    schema = StructType([short.schema["row"], *(StructField(name, INTS) for name in RESULTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(path_a, path_b)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for first, last in chunks(texts, SLICE):
-                _, values, counts = own.align(texts[first:last])
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(x, pa.int32()))
-                    for x, n in zip(values, counts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *lists], ["row", *RESULTS])
-
-    short = rows.filter(~long).mapInArrow(run, schema)
-    both = short.unionByName(_long(rows.filter(long), path_a, path_b, span))
+        for rows, lists in _aligned(batches, aligner(path_a, path_b)):
+            made = [
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(x, pa.int32()))
+                for x, n in lists]
+            yield pa.RecordBatch.from_arrays([rows, *made], schema.names)
+
+    both = short.mapInArrow(run, schema).unionByName(_long(long, path_a, path_b, span))
     return both.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *RESULTS)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about TOKENS tokens."""
-    for batch in batches:
-        sizes = sum(np.asarray(batch.column(batch.schema.get_field_index(c)).value_lengths().fill_null(0)) for c in RESULTS[:2])
-        places = np.flatnonzero(np.diff(np.cumsum(sizes) // TOKENS)) + 1
-        for first, last in zip([0, *places], [*places, batch.num_rows]):
-            yield batch.slice(first, last - first)
+#: What `linked` says of a document, besides its links: numbers of tokens and groups, and the SHA-256 of the groups
+#: written as `a1,a2|b1;a3|b2,b3`. Without tokens the numbers are 0 and the text is empty.
+SUMMARY = (("n_a", LongType()), ("n_b", LongType()), ("n_groups", LongType()), ("groups_sha256", StringType()))
+#: What `scored` adds: links, those whose count is the highest of their B id, and the sum of the counts of all.
+SCORES = ("n_links", "n_best", "count_sum")
+
+
+def linked(df: DataFrame, path_a: str, path_b: str, text: str = "text", keep: list[str] | None = None,
+           span: int = SPAN) -> DataFrame:
+    """What the counts need of `align`, in less space. Two kinds of rows: of documents, `row` (the columns of `keep`), SUMMARY
+    and `links`, for each group its last ids of A and B as one number of 4 or 8 bytes; and of links, with `row` null, their
+    number `link` and how often a task met it, `n`. Ids that end together are linked; each group has one such pair."""
+    _, short, long = _rows_of(df, text, keep, span)
+    schema = StructType([
+        StructField("row", short.schema["row"].dataType), *(StructField(*x) for x in SUMMARY), StructField("links", BinaryType()),
+        *(StructField(name, LongType()) for name in ("link", "b", "n"))])
+
+    def summed(slices: Iterator[tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]], own: Aligner) -> Iterator[pa.RecordBatch]:
+        keys, counts, kind = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for rows, lists in slices:
+            kind = rows.type
+            links, n_groups = own.links(lists), lists[2][1]
+            found, n = np.unique(links, return_counts=True)
+            keys, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            counts = np.bincount(place, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(n_groups)])
+            packed = [links[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])]
+            nothing = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [rows, *(pa.array(x, pa.int64()) for x in (lists[0][1], lists[1][1], n_groups)), pa.array(_digests(lists), pa.string()),
+                 pa.array(packed, pa.binary()), nothing, nothing, nothing], schema.names)
+        if kind:
+            nulls = [pa.nulls(len(keys), t) for t in (kind, *[pa.int64()] * 3, pa.string(), pa.binary())]
+            own_b = keys & ((1 << own.bits) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [*nulls, *(pa.array(x.astype(np.int64)) for x in (keys, own_b, counts))], schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = aligner(path_a, path_b)
+        yield from summed(_aligned(batches, own), own)
+
+    def run_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A long text at a time.
+        single = (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows))
+        yield from summed(((one.column(0), _lists(one)) for one in single), aligner(path_a, path_b))
+
+    return short.mapInArrow(run, schema).unionByName(_long(long, path_a, path_b, span).mapInArrow(run_long, schema))
 
 
 def _lists(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     """Values and lengths of the RESULTS of a batch."""
     found = [batch.column(batch.schema.get_field_index(name)) for name in RESULTS]
-    return [(np.asarray(x.flatten()), np.asarray(x.value_lengths().fill_null(0))) for x in found]
-
-
-def _links(lists: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The linked ids of each group, its last token of A and of B, as one number."""
-    (a, _), (b, _), (size_a, _), (size_b, _) = lists
-    return (a[np.cumsum(size_a) - 1].astype(np.int64) << 32) | b[np.cumsum(size_b) - 1]
+    return [(np.asarray(x.flatten()), np.asarray(x.value_lengths())) for x in found]
 
 
-def link_counts(aligned: DataFrame) -> DataFrame:
-    """(a, b, n, best): how many links of all documents hold the ids a and b linked, and whether no other a has
-    more links with b.
+def link_counts(rows: DataFrame) -> DataFrame:
+    """(link, n, best) of stored rows of `linked`: how many links of all documents are this one, and whether no other A id has
+    more links with its B id.
 
-    Linked ids end in the same bytes, one being a suffix of the other, so there are no more pairs than bytes in the
+    Linked ids end in the same bytes, one being a suffix of the other, so there are no more different links than bytes in the
     tokens of both vocabularies (twice those of B, as a byte may be spelt two ways), however large the corpus is.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in _slices(batches):
-            found, n = np.unique(_links(_lists(batch)), return_counts=True)
-            keys, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
-            counts = np.bincount(place, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
-        yield pa.RecordBatch.from_pydict({
-            "a": pa.array(keys >> 32, pa.int32()), "b": pa.array(keys & 0xFFFFFFFF, pa.int32()), "n": pa.array(counts, pa.int64())})
-
-    partial = aligned.select(*RESULTS).mapInArrow(count, "a int, b int, n long")
-    counts = partial.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = rows.filter("link IS NOT NULL").groupBy("link", "b").agg(F.sum("n").alias("n"))
     most = counts.groupBy("b").agg(F.max("n").alias("most"))
-    return counts.join(most, "b").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
+    return counts.join(most, "b").select("link", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
 def shared_counts(counts: DataFrame) -> Broadcast:
     """The table of `link_counts` for all tasks; `link_counts` says what bounds its size."""
     table = counts.toArrow()
-    a, b, n, best = (np.asarray(table.column(c).combine_chunks().to_numpy(zero_copy_only=False)) for c in ("a", "b", "n", "best"))
-    keys = (a.astype(np.int64) << 32) | b
+    keys, n, best = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("link", "n", "best"))
     order = np.argsort(keys)
     return counts.sparkSession.sparkContext.broadcast((keys[order], n[order].astype(np.int64), best[order].astype(bool)))
 
 
-#: What `summaries` adds.
-SUMMARY = (*((name, LongType()) for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")),
-           ("groups_sha256", StringType()))
-
-
-def summaries(aligned: DataFrame, counts: Broadcast, keep: list[str]) -> DataFrame:
-    """The columns of `keep` and of SUMMARY, a row a document: numbers of tokens, groups and links, links whose
-    count is the highest of their B id, the sum of the counts of all links, and the SHA-256 of the groups written
-    as `a1,a2|b1;a3|b2,b3`. Without tokens the numbers are 0 and the text is empty."""
-    rows = aligned.select(F.struct(*keep).alias("row"), *RESULTS)
-    schema = StructType([rows.schema["row"], *(StructField(*x) for x in SUMMARY)])
+def scored(rows: DataFrame, counts: Broadcast) -> DataFrame:
+    """Documents of stored rows of `linked`: row, SUMMARY and SCORES."""
+    docs = rows.filter("link IS NULL").select("row", *(name for name, _ in SUMMARY), "links")
+    schema = StructType([*docs.schema.fields[:-1], *(StructField(name, LongType()) for name in SCORES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times, best = counts.value
-        for batch in _slices(batches):
-            lists = _lists(batch)
-            n_a, n_b, n_groups = lists[0][1], lists[1][1], lists[2][1]
-            doc = np.repeat(np.arange(batch.num_rows), n_groups)
-            place = np.searchsorted(keys, _links(lists))
-            total = lambda x: np.bincount(doc, weights=x, minlength=batch.num_rows).astype(np.int64)
-            n_best = total(best[place])
-            # Sums beyond 2**53 aren't whole in doubles.
-            ends = np.concatenate([[0], np.cumsum(n_groups)])
-            sums = np.concatenate([[0], np.cumsum(times[place])])
-            made = [n_a, n_b, n_groups, n_groups, n_best, sums[ends[1:]] - sums[ends[:-1]]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in made), pa.array(_digests(lists), pa.string())],
-                ["row", *(name for name, _ in SUMMARY)])
-
-    made = rows.mapInArrow(run, schema)
-    return made.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *(name for name, _ in SUMMARY))
+        for batch in batches:
+            made = []
+            for packed, n in zip(batch.column(len(schema) - len(SCORES)), batch.column(3).to_pylist()):
+                raw = packed.as_buffer()
+                place = np.searchsorted(keys, np.frombuffer(raw, f"<i{raw.size // n}")) if n else np.zeros(0, np.int64)
+                made.append((n, int(best[place].sum()), int(times[place].sum())))
+            found = [pa.array(x, pa.int64()) for x in zip(*made)] if made else [pa.array([], pa.int64())] * len(SCORES)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 _words: dict[int, np.ndarray] = {}

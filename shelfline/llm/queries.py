@@ -101,9 +101,10 @@ def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     paths = public_tokenizers.path(SINGLE), public_tokenizers.path(PIECES)
     # Both the counts and the documents' sums read it.
-    aligned = stored(alignment.align(docs, *paths, keep=["doc_id"]), "aligned")
-    counts = alignment.shared_counts(alignment.link_counts(aligned))
-    return alignment.summaries(aligned, counts, ["doc_id"])
+    rows = stored(alignment.linked(docs, *paths, keep=["doc_id"]), "linked")
+    found = alignment.scored(rows, alignment.shared_counts(alignment.link_counts(rows)))
+    return found.select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
 def op12_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,10 +88,25 @@ def test_alignment_query_like_a_plain_version(spark, sf_dir):
             sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), len(links), sum(counts[x] == highest[x[1]] for x in links),
             sum(counts[x] for x in links), hashlib.sha256(text.encode()).hexdigest() if g else "")
     got = queries.op11_fragment_alignment(spark, sf_dir)
-    assert got.columns == ["doc_id", *(name for name, _ in alignment.SUMMARY)]
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want
 
 
+def test_links_of_odd_texts(spark):
+    odd = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)], "doc_id long, text string, links string")
+    groups = plain_alignment(ODD)
+    for span in (alignment.SPAN, 64):
+        rows = alignment.linked(odd, A, B, span=span).cache()
+        docs = {r.row.doc_id: r for r in rows.filter("link IS NULL").collect()}
+        assert {i: (r.n_a, r.n_b, r.n_groups) for i, r in docs.items()} == {
+            i: (sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g)) for i, g in enumerate(groups)}
+        found = alignment.scored(rows, alignment.shared_counts(alignment.link_counts(rows))).collect()
+        assert {r.row.doc_id: r.n_links for r in found} == {i: len(g) for i, g in enumerate(groups)} and found[0].row.links == "x"
+        rows.unpersist()
+    empty = alignment.linked(odd.limit(0), A, B)
+    assert alignment.scored(empty, alignment.shared_counts(alignment.link_counts(empty))).count() == 0
+
+
 def test_fragments_are_a_monoid():
     random.seed(3)
     own = alignment.aligner(A, B)
