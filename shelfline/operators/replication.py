@@ -16,8 +16,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from shelfline.operators.latest import latest_by
 from shelfline.sources.files import path_exists
+from shelfline.sources.listing import list_files, listed_partitions
 from shelfline.sources.sinks import PathTarget, TableTarget
-from shelfline.sources.tables import partition_list, partition_values
+from shelfline.sources.tables import partition_list, partition_values, read_published
 
 ADDED, DELETED = 1, 2
 
@@ -29,9 +30,14 @@ STATE_SCHEMA = StructType([
 ])
 
 
+def newest_id() -> Column:
+    """The id committed last. Ids are not ordered in time, so only committed_at counts."""
+    return F.max_by("snapshot_id", F.struct("committed_at", "snapshot_id"))
+
+
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """One row: the id committed last. Ids are not ordered in time, so only committed_at counts."""
-    newest = F.max_by("snapshot_id", F.struct("committed_at", "snapshot_id"))
+    """One row: the id committed last; reading it fails when there is none."""
+    newest = newest_id()
     found = F.when(newest.isNotNull(), newest).otherwise(F.raise_error(F.lit("no snapshots found")))
     return snapshots.agg(found.alias("snapshot_id"), F.max("committed_at").alias("committed_at"))
 
@@ -117,6 +123,22 @@ def replication_plan(
     return Plan("incremental", target, changed_partitions(snapshots, entries, since, target, part))
 
 
+@dataclass(frozen=True)
+class PathSource:
+    """A published folder as the source of `replicate`: its present content, its partitions from a listing."""
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    part: str = "dt"
+
+    def __call__(self, _: int) -> DataFrame:
+        return read_published(self.spark, self.path, self.schema, part=self.part)
+
+    def partitions(self, _: int) -> DataFrame:
+        return listed_partitions(list_files(self.spark, self.path, self.part), self.part).select(self.part)
+
+
 @dataclass(frozen=True)
 class Outcome:
     mode: str
@@ -133,16 +155,18 @@ def replicate(
     """Bring a published table up to the newest source snapshot.
 
     `source(snapshot_id)` returns the table as of that snapshot (an Iceberg reader passes the id
-    on; a plain Parquet source can only return its present content). Order of effects: replace live
-    partitions and verify them, drop those gone upstream, record state. A crash before the last step
-    makes the next run repeat the same work.
+    on; a plain Parquet source can only return its present content). A source that also has
+    `partitions(snapshot_id)`, one row for each, taken from a listing or a log, spares the scans that would find them
+    among the rows. Order of effects: replace live partitions and verify them, drop those gone upstream, record
+    state. A crash before the last step makes the next run repeat the same work.
     """
     last = last_replicated(read_state(spark, state_path), table)
     # Captured once: a commit that lands during the copy is left to the next run.
     snapshot = newest_snapshot_id(snapshots)
     live = source(snapshot)
+    named = source.partitions(snapshot) if hasattr(source, "partitions") else live
     plan = replication_plan(
-        snapshots, entries, live, last, full_load, from_snapshot, snapshot, part
+        snapshots, entries, named, last, full_load, from_snapshot, snapshot, part
     )
     if plan.mode == "none":
         return Outcome("none", [], [], 0)
@@ -152,7 +176,7 @@ def replicate(
     if plan.mode == "full":
         reload, gone = affected, sorted(present - set(affected))
     else:
-        reload = partition_values(live.filter(F.col(part).isin(affected)), part) if affected else []
+        reload = partition_values(named.filter(F.col(part).isin(affected)), part) if affected else []
         gone = sorted((set(affected) - set(reload)) & present)
     # pruned to the reloaded folders
     rows = target.replace(live.filter(F.col(part).isin(reload)), reload) if reload else 0

@@ -183,6 +183,16 @@ snapshots AS (SELECT yr * 7919 % 1009 AS snapshot_id, committed_at FROM years),
 months AS (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS yr,
              strftime(o_orderdate, '%Y-%m-01') AS dt FROM orders)"""
 
+_VERSIONED = """
+o AS (SELECT o_orderkey, o_orderstatus, o_orderdate AS placed, CAST(year(o_orderdate) AS BIGINT) AS yr,
+        strftime(o_orderdate, '%Y-%m-01') AS dt, month(o_orderdate) = 1 AS january FROM orders),
+y AS (SELECT yr, max(placed) AS committed_at, max(yr) OVER () AS last, min(yr) OVER () AS first FROM o GROUP BY yr),
+newest AS (SELECT max(yr) AS last FROM y)"""
+
+
+def _as_of(year: str) -> str:
+    return f"yr <= {year} AND NOT (january AND yr < {year} AND o_orderstatus = 'O')"
+
 
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
@@ -371,6 +381,22 @@ ORACLES: dict[str, str] = {
           ORDER BY updated_at DESC, last_snapshot_id DESC) = 1""",
     "replicate_table": _catalog("SELECT appid, game_title, positive, negative, dt FROM catalog_daily"),
     "changed_by_mtime": _catalog("SELECT max(dt) AS dt FROM catalog_daily"),
+    "snapshot_history": _with(_VERSIONED, """
+        SELECT committed_at AS made_current_at, yr * 7919 % 1009 AS snapshot_id,
+          CASE WHEN yr > first THEN (yr - 1) * 7919 % 1009 END AS parent_id, true AS is_current_ancestor FROM y
+        UNION ALL SELECT committed_at - INTERVAL 1 HOUR, yr * 7919 % 1009 + 5000, (yr - 1) * 7919 % 1009, false
+        FROM y WHERE yr = last - 1"""),
+    "live_files": _with(_VERSIONED, f"""
+        SELECT dt, (CASE WHEN january AND yr < last THEN yr + 1 ELSE yr END) * 7919 % 1009 AS added_by,
+          count(*) AS record_count, count(*) AS footer_rows, true AS has_bytes
+        FROM o, newest WHERE {_as_of('last')} GROUP BY ALL"""),
+    "read_as_of": _with(_VERSIONED, f"SELECT o_orderkey, o_orderstatus, dt FROM o WHERE {_as_of('1997')}"),
+    "read_between": _with(_VERSIONED, f"""
+        SELECT o_orderkey, o_orderstatus, dt, 'added' AS change FROM o
+        WHERE (yr > 1996 AND {_as_of('1998')}) OR (yr = 1996 AND january AND o_orderstatus <> 'O')
+        UNION ALL SELECT o_orderkey, o_orderstatus, dt, 'removed' FROM o WHERE yr = 1996 AND january"""),
+    "replicate_from_log": _with(
+        _VERSIONED, f"SELECT o_orderkey, o_orderstatus, dt FROM o, newest WHERE {_as_of('last')}"),
     "dq_not_null": _catalog(
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS failing_rows FROM staged"

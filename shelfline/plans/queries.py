@@ -17,10 +17,10 @@ from shelfline.operators.ranking import as_of
 from shelfline.operators.tokens import token_counts
 from shelfline.plans import build, catalog
 from shelfline.plans.testdata import (
-    catalog_daily, commit_log, landing_path, published_catalog, snapshot_id,
+    catalog_daily, commit_log, landing_path, published_catalog, snapshot_id, versioned_orders,
 )
 from shelfline.session import run_dir
-from shelfline.sources import files, sinks, tables
+from shelfline.sources import files, listing, sinks, snapshots, tables
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
 )
@@ -289,12 +289,12 @@ def scan_glob(spark, sf_dir):
 
 @query
 def partition_list(spark, sf_dir):
-    return tables.partition_list(published_catalog(spark, sf_dir)[0])
+    return listing.listed_partitions(listing.list_files(spark, published_catalog(spark, sf_dir)[1])).select("dt")
 
 
 @query
 def latest_partition(spark, sf_dir):
-    return tables.latest_partition_row(published_catalog(spark, sf_dir)[0])
+    return listing.newest_partition(listing.list_files(spark, published_catalog(spark, sf_dir)[1]))
 
 
 @query
@@ -352,7 +352,8 @@ def partition_stats(spark, sf_dir):
 
 @query
 def partition_records(spark, sf_dir):
-    return tables.partition_stats(published_catalog(spark, sf_dir)[0]).select("dt", "record_count")
+    stats = listing.file_stats(listing.list_files(spark, published_catalog(spark, sf_dir)[1]))
+    return stats.select("dt", "record_count")
 
 
 @query
@@ -509,9 +510,7 @@ def replicate_table(spark, sf_dir):
     early = daily.filter("dt NOT IN ('1996-01-01', '1999-01-01')").unionByName(outdated).unionByName(doomed)
     sinks.publish_partitions(early, source)
 
-    def live(_: int) -> DataFrame:
-        return read_published(spark, source, daily.schema)
-
+    live = replication.PathSource(spark, source, daily.schema)
     first = [(900, "2026-01-01", early, replication.ADDED)]
     replication.replicate(spark, live, target, state, "catalog", *_log(spark, first))
 
@@ -532,11 +531,57 @@ def changed_by_mtime(spark, sf_dir):
     daily = published_catalog(spark, sf_dir)[0].select("appid", "positive", "dt")
     path = run_dir(spark, "mtime")
     sinks.publish_partitions(daily, path)
-    table = read_published(spark, path, daily.schema)
-    seen = tables.modified_partitions(table).agg(F.max("modified_at")).collect()[0][0]
-    sinks.publish_partitions(as_of(daily, "dt", "latest"), path)
-    table = read_published(spark, path, daily.schema)
-    return replication.partitions_modified_since(tables.modified_partitions(table), seen)
+    seen = listing.list_files(spark, path).agg(F.max("modified_at")).first()[0]
+    sinks.publish_partitions(daily.filter(F.col("dt") == files.latest_partition(spark, path)), path)
+    modified = listing.listed_partitions(listing.list_files(spark, path))
+    return replication.partitions_modified_since(modified, seen)
+
+
+# --- a commit log that another system keeps ----------------------------------------------------
+
+
+@query
+def snapshot_history(spark, sf_dir):
+    return snapshots.history(versioned_orders(spark, sf_dir)[0])
+
+
+@query
+def live_files(spark, sf_dir):
+    """The files of the newest snapshot, what the log says of them and what their footers say."""
+    log, entries, _, _ = versioned_orders(spark, sf_dir)
+    live = listing.footers(snapshots.live_files(log, entries))
+    return live.groupBy("dt", "added_by").agg(
+        F.sum("record_count").alias("record_count"), F.sum("n_rows").alias("footer_rows"),
+        F.min(F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def _commit(year: int) -> int:
+    return year * 7919 % 1009
+
+
+@query
+def read_as_of(spark, sf_dir):
+    log, entries, path, schema = versioned_orders(spark, sf_dir)
+    return snapshots.read_as_of(spark, log, entries, path, schema, _commit(1997))
+
+
+@query
+def read_between(spark, sf_dir):
+    log, entries, path, schema = versioned_orders(spark, sf_dir)
+    return snapshots.read_between(spark, log, entries, path, schema, _commit(1996), _commit(1998))
+
+
+@query
+def replicate_from_log(spark, sf_dir):
+    """A copy of an early snapshot, brought up to the newest: rewritten and new months, and no file that isn't live."""
+    log, entries, path, schema = versioned_orders(spark, sf_dir)
+    source = snapshots.LogSource(spark, path, schema, log, entries)
+    base = run_dir(spark, "from-log")
+    target = sinks.PathTarget(spark, f"{base}/target")
+    early = log.filter(F.col("committed_at") < "1997-01-01")
+    replication.replicate(spark, source, target, f"{base}/state", "orders", early, entries)
+    replication.replicate(spark, source, target, f"{base}/state", "orders", log, entries)
+    return read_published(spark, target.path, schema)
 
 
 # --- data tests --------------------------------------------------------------------------------
@@ -748,7 +793,7 @@ def landing_to_rankings(spark, sf_dir):
     silver = read_published(spark, silver_path, schema)
     log = _log(spark, [(1, "2026-01-01", silver, replication.ADDED)])
     done = replication.replicate(
-        spark, lambda _: silver, serving, f"{base}/state", "catalog", *log
+        spark, replication.PathSource(spark, silver_path, schema), serving, f"{base}/state", "catalog", *log
     )
     served = read_published(spark, serving.path, schema)
     build.refresh_marts(spark, serving.path, served, marts, done.reloaded, done.cleared)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from shelfline.operators.replication import ADDED, DELETED
 from shelfline.session import run_dir
 from shelfline.sources.landing import entry_pages, write_pages
+from shelfline.sources.listing import footers, list_files
 from shelfline.sources.sinks import publish_partitions
+from shelfline.sources.snapshots import EXISTING
 from shelfline.sources.tables import read_published, read_table
 
 PAGE_ENTRIES = 500
@@ -143,3 +147,64 @@ def commit_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.struct(F.struct("dt").alias("partition"), "record_count").alias("data_file"),
     )
     return snapshots, entries
+
+
+#: Ids of an abandoned branch are so much larger.
+DRAFT = 5000
+
+
+def versioned_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str, StructType]:
+    """Orders as files of a commit per year, with the log of a system that keeps them: (snapshots, entries, folder, schema).
+
+    A commit adds a file for each month of its year and rewrites the January before, without its open orders. The
+    year before the last was first committed on a branch that the table didn't keep.
+    """
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("at"), F.year("o_orderdate").cast("bigint").alias("yr"),
+        F.date_format("o_orderdate", "yyyy-MM-01").alias("dt"))
+    years = orders.groupBy("yr").agg(F.max("at").alias("committed_at"))
+    last = years.agg(F.max("yr")).first()[0]
+    first = years.agg(F.min("yr")).first()[0]
+    january = F.col("dt").substr(6, 2) == "01"
+    kept = ["o_orderkey", "o_orderstatus", "dt"]
+
+    def write(path: str) -> None:
+        parts = [
+            orders.select(*kept, snapshot_id(F.col("yr")).alias("commit")),
+            orders.filter(january & (F.col("yr") < last) & (F.col("o_orderstatus") != "O")).select(
+                *kept, snapshot_id(F.col("yr") + 1).alias("commit")),
+            orders.filter(F.col("yr") == last - 1).select(*kept, (snapshot_id(F.col("yr")) + DRAFT).alias("commit")),
+        ]
+        every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        every.hint("rebalance", "commit", "dt").write.partitionBy("commit", "dt").parquet(path)
+
+    path = _once(spark, sf_dir, "orders", write)
+
+    def write_log(log: str) -> None:
+        line = years.select(
+            snapshot_id(F.col("yr")).alias("snapshot_id"),
+            F.when(F.col("yr") > first, snapshot_id(F.col("yr") - 1)).alias("parent_id"), "committed_at",
+            F.when(F.col("yr") > first, "overwrite").otherwise("append").alias("operation"))
+        draft = years.filter(F.col("yr") == last - 1).select(
+            (snapshot_id(F.col("yr")) + DRAFT).alias("snapshot_id"), snapshot_id(F.col("yr") - 1).alias("parent_id"),
+            (F.col("committed_at") - F.expr("INTERVAL 1 HOUR")).alias("committed_at"), F.lit("append").alias("operation"))
+        files = footers(list_files(spark, path)).select(
+            F.regexp_extract("file_path", r"commit=(\d+)", 1).cast("bigint").alias("commit"),
+            F.substring("dt", 1, 4).cast("bigint").alias("yr"), "dt",
+            F.struct(
+                "file_path", F.struct("dt").alias("partition"), F.col("n_rows").alias("record_count"),
+                F.col("n_bytes").alias("file_size_in_bytes")).alias("data_file"))
+        own = F.col("commit") == snapshot_id(F.col("yr"))
+        next_commit = snapshot_id(F.col("yr") + 1)
+        entries = files.select(F.lit(ADDED).alias("status"), F.col("commit").alias("snapshot_id"), "data_file")
+        followed = files.filter(own & (F.col("yr") < last))
+        entries = entries.unionByName(followed.filter(january).select(
+            F.lit(DELETED).alias("status"), next_commit.alias("snapshot_id"), "data_file"))
+        entries = entries.unionByName(followed.filter(~january).select(
+            F.lit(EXISTING).alias("status"), next_commit.alias("snapshot_id"), "data_file"))
+        line.unionByName(draft).write.parquet(f"{log}/snapshots")
+        entries.write.parquet(f"{log}/entries")
+
+    log = _once(spark, sf_dir, "orders-log", write_log)
+    snapshots, entries = (spark.read.parquet(f"{log}/{name}") for name in ("snapshots", "entries"))
+    return snapshots, entries, path, orders.select(*kept).schema

@@ -34,6 +34,12 @@ def list_partitions(spark: SparkSession, path: str, part: str = "dt") -> list[st
     return sorted(_paths(spark).unescapePathName(n.split("=", 1)[1]) for n in names if n.startswith(f"{part}="))
 
 
+def catalog_partitions(spark: SparkSession, table: str) -> list[str]:
+    """Partition values of a catalog table with one partition column, as the catalog has them."""
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return sorted(_paths(spark).unescapePathName(n.split("=", 1)[1]) for n in names)
+
+
 def latest_partition(spark: SparkSession, path: str, part: str = "dt") -> str:
     values = list_partitions(spark, path, part)
     if not values:

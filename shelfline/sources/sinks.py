@@ -11,7 +11,7 @@ from itertools import islice
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from shelfline.sources.files import drop_partitions, list_partitions
+from shelfline.sources.files import catalog_partitions, drop_partitions, list_partitions
 from shelfline.sources.tables import partition_values, read_published
 
 
@@ -153,6 +153,9 @@ class TableTarget:
     def partitions(self) -> set[str]:
         if not self.spark.catalog.tableExists(self.table):
             return set()
+        if self.provider == "parquet":
+            # The catalog knows them: no row is read.
+            return set(catalog_partitions(self.spark, self.table))
         return set(partition_values(self.spark.table(self.table), self.part))
 
     def replace(self, df: DataFrame, values: list[str]) -> int:
