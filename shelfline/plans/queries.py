@@ -20,7 +20,7 @@ from shelfline.plans.testdata import (
     catalog_daily, commit_log, landing_path, published_catalog, snapshot_id, versioned_orders,
 )
 from shelfline.session import run_dir
-from shelfline.sources import files, listing, sinks, snapshots, tables
+from shelfline.sources import arrow_sink, files, listing, sinks, snapshots, tables
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
 )
@@ -333,8 +333,8 @@ def partition_sink(spark, sf_dir):
     """Rows handed to the batch sink, read back and compared with the sink's own counter."""
     rows = published_catalog(spark, sf_dir)[0].select("appid", "positive", "negative", "dt")
     path = run_dir(spark, "sink")
-    written = sinks.write_in_batches(rows, sinks.JsonLines(path), batch_rows=1000)
-    landed = spark.read.schema(rows.schema).json(path)
+    written = arrow_sink.write_staged(rows, path, batch_rows=1000)
+    landed = arrow_sink.read_staged(spark, path, rows.schema)
     counted = landed.groupBy("dt").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("positive").alias("positive")
     )
