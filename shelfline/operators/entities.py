@@ -23,11 +23,24 @@ def explode_entities(
     return rows if unique_input else rows.distinct()
 
 
+def explode_kinds(df: DataFrame, kinds: list[str], keep: list[str], kind: str = "kind", name: str = "name",
+                  mode: str = "loose") -> DataFrame:
+    """`explode_entities` of several list columns in one pass: a row per (kept columns, list column, entity). The kept
+    columns must identify a row."""
+    def named(col: str):
+        names = F.array_distinct(split_entities(F.col(col), mode))
+        pairs = F.transform(names, lambda n: F.struct(F.lit(col).alias(kind), n.alias(name)))
+        return F.when(non_empty(F.col(col)), pairs).otherwise(F.array().cast(f"array<struct<{kind}:string,{name}:string>>"))
+
+    each = F.explode(F.concat(*[named(c) for c in kinds])).alias("_entity")
+    return df.select(*keep, each).select(*keep, "_entity.*")
+
+
 def entity_mart(
-    exploded: DataFrame, entity: str, id_col: str, pos: str, neg: str, date_col: str,
+    exploded: DataFrame, entity: str | list[str], id_col: str, pos: str, neg: str, date_col: str,
     unique_input: bool = False,
 ) -> DataFrame:
-    """Entity x date: distinct items, review sums, weighted approval.
+    """Entity x date: distinct items, review sums, weighted approval. An entity may be several columns.
 
     Sums combine map-side, so a prolific entity costs one partial row per task. The exact distinct
     count adds a shuffle on (entity, date, id), which also spreads a hot entity; `unique_input`
@@ -36,14 +49,15 @@ def entity_mart(
     p, n = F.col(pos).cast("bigint"), F.col(neg).cast("bigint")
     # NULL ids do not count, as in count(distinct).
     items = F.count(id_col) if unique_input else F.countDistinct(id_col)
-    sums = exploded.groupBy(entity, date_col).agg(
+    keys = [entity] if isinstance(entity, str) else entity
+    sums = exploded.groupBy(*keys, date_col).agg(
         items.alias("num_games"),
         F.sum(total_reviews(p, n)).alias("total_reviews"),
         F.sum(p).alias("total_positive"),
         F.sum(n).alias("total_negative"),
     )
     return sums.select(
-        entity, "num_games", "total_reviews", "total_positive", "total_negative",
+        *keys, "num_games", "total_reviews", "total_positive", "total_negative",
         percent_or_zero(F.col("total_positive"), F.col("total_reviews")).alias("avg_approval_pct"),
         date_col,
     )

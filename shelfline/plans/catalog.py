@@ -9,7 +9,7 @@ from shelfline.functions.scoring import (
     price_bucket, total_reviews, wilson_lower_bound,
 )
 from shelfline.functions.text import title_case
-from shelfline.operators.entities import entity_mart, explode_entities
+from shelfline.operators.entities import entity_mart, explode_entities, explode_kinds
 from shelfline.operators.latest import latest_by
 from shelfline.operators.ranking import as_of, gated_ranking, top_n, top_ranked
 from shelfline.operators.tiers import index_to_base, retained, tier_profile
@@ -74,6 +74,12 @@ def entity_model(staged: DataFrame, entity: str, unique_input: bool = False) ->
     return entity_mart(rows, entity, "app_id", "positive", "negative", "partition_date", unique_input)
 
 
+def entity_models(games: DataFrame) -> DataFrame:
+    """Developers and publishers marts in one pass, told apart by `kind`; rows must be unique by GAME_KEY."""
+    rows = explode_kinds(games, ["developer", "publisher"], ["app_id", "positive", "negative", "partition_date"])
+    return entity_mart(rows, ["kind", "name"], "app_id", "positive", "negative", "partition_date", unique_input=True)
+
+
 def entity_rankings(mart: DataFrame, entity: str, n: int = 20, when: str | None = None) -> DataFrame:
     """Top entities by review volume. `when` picks one date of a stored mart; None ranks every
     (entity, date)."""

@@ -471,6 +471,9 @@ ORACLES: dict[str, str] = {
     "landing_to_rankings": _catalog(_ranked("developer"), _STAGED),
     "incremental_marts_emptied": _catalog(
         f"SELECT * FROM ({_mart('developer')}) WHERE partition_date <> '1996-01-01'", _STAGED),
+    "gated_marts": _catalog(
+        f"SELECT *, partition_date = '1996-01-01' AS held_back FROM ({_mart('developer')})",
+        _STAGED.replace("positive, negative, userscore", "CASE WHEN dt = '1999-01-01' THEN 0 ELSE positive END AS positive, negative, userscore")),
     "marts_over_versions": _catalog(_mart("publisher"), _STAGED),
     "incremental_marts": _catalog(_mart("developer"), _STAGED),
     "stored_rankings": _catalog(

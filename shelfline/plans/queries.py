@@ -21,6 +21,7 @@ from shelfline.plans.testdata import (
 )
 from shelfline.session import run_dir
 from shelfline.sources import arrow_sink, files, listing, sinks, snapshots, tables
+from shelfline.sources.checked import GateError
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
 )
@@ -758,6 +759,25 @@ def incremental_marts_emptied(spark, sf_dir):
     return build.read_mart(spark, marts, "developers", daily)
 
 
+@query
+def gated_marts(spark, sf_dir):
+    """A refresh of two dates, one of them with a game without an id: that one keeps its old marts."""
+    daily, _ = published_catalog(spark, sf_dir)
+    base = run_dir(spark, "marts")
+    silver, marts = f"{base}/silver", f"{base}/marts"
+    sinks.publish_partitions(daily, silver)
+    build.refresh_marts(spark, silver, daily, marts)
+    changed = daily.filter("dt IN ('1996-01-01', '1999-01-01')").withColumn("positive", F.lit(0).cast("bigint"))
+    nameless = changed.filter("dt = '1996-01-01'").withColumn("appid", F.lit(None).cast("bigint"))
+    sinks.publish_partitions(changed.unionByName(nameless), silver)
+    try:
+        build.refresh_marts(spark, silver, daily, marts, dates=["1996-01-01", "1999-01-01"])
+    except GateError as error:
+        held = str(error)
+    kept = build.read_mart(spark, marts, "developers", daily)
+    return kept.withColumn("held_back", F.lit("partition_date=1996-01-01" in held) & (F.col("partition_date") == "1996-01-01"))
+
+
 @query
 def marts_over_versions(spark, sf_dir):
     """Marts of a serving table that holds an older version of every row beside the newest."""

@@ -53,3 +53,23 @@ def drop_partitions(spark: SparkSession, path: str, values: list[str], part: str
         hadoop_path, fs = _path(spark, f"{path}/{partition_folder(spark, part, value)}")
         if fs.exists(hadoop_path) and not fs.delete(hadoop_path, True):
             raise OSError(f"can't delete {hadoop_path}")
+
+
+def drop_folders(spark: SparkSession, *paths: str) -> None:
+    """Remove folders with all they hold, if they exist."""
+    for path in paths:
+        hadoop_path, fs = _path(spark, path)
+        if fs.exists(hadoop_path) and not fs.delete(hadoop_path, True):
+            raise OSError(f"can't delete {hadoop_path}")
+
+
+def swap_folders(spark: SparkSession, source: str, target: str, folders: list[str]) -> None:
+    """Move folders below `source` to the same place below `target`, in place of what is there."""
+    for folder in folders:
+        new, fs = _path(spark, f"{source}/{folder}")
+        old, _ = _path(spark, f"{target}/{folder}")
+        fs.mkdirs(old.getParent())
+        if fs.exists(old) and not fs.delete(old, True):
+            raise OSError(f"can't delete {old}")
+        if not fs.rename(new, old):
+            raise OSError(f"can't move {new} to {old}")
