@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from shelfline.operators.latest import latest_by
-from shelfline.sources.files import path_exists
+from shelfline.sources.files import drop_folders, list_names, path_exists
 from shelfline.sources.listing import list_files, listed_partitions
 from shelfline.sources.sinks import PathTarget, TableTarget
 from shelfline.sources.tables import partition_list, partition_values, read_published
@@ -87,11 +87,26 @@ def last_replicated(state: DataFrame, table: str) -> int | None:
     return rows[0]["last_snapshot_id"] if rows else None
 
 
-def record_state(spark: SparkSession, path: str, table: str, snapshot: int) -> None:
-    """Upsert by append: readers take the newest row."""
+#: Files of the state log beyond which it is written anew.
+STATE_FILES = 32
+
+
+def record_state(spark: SparkSession, path: str, table: str, snapshot: int, most: int = STATE_FILES) -> None:
+    """Upsert by append: readers take the newest row. One writer at a time; a log of more than `most` files is compacted."""
     now = datetime.now(timezone.utc)
     row = spark.createDataFrame([(table, snapshot, now, now)], STATE_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(path)
+    if sum(name.endswith(".parquet") for name in list_names(spark, path)) > most:
+        compact_state(spark, path)
+
+
+def compact_state(spark: SparkSession, path: str) -> None:
+    """Leaves one file with the newest row of each table. The new file comes before the old ones go, so a reader
+    finds the newest rows at any time, also after a crash in between."""
+    old = [name for name in list_names(spark, path) if name.endswith(".parquet")]
+    newest = latest_state(spark.read.schema(STATE_SCHEMA).parquet(*old))
+    newest.coalesce(1).write.mode("append").parquet(path)
+    drop_folders(spark, *old)
 
 
 @dataclass(frozen=True)

@@ -246,6 +246,25 @@ ORACLES: dict[str, str] = {
               ON l.developer = m.developer AND l.partition_date = m.partition_date""",
         _STAGED,
     ),
+    "developers_all_time": _catalog(
+        f"""SELECT developer, count(DISTINCT app_id) AS num_games, count(DISTINCT partition_date) AS n_dates
+            FROM ({_exploded('developer')}) GROUP BY developer""", _STAGED),
+    "latest_bucketed": _latest("events", "user_id", "ts DESC, event_id DESC"),
+    "merge_partitions": _catalog("""
+        SELECT id, CASE WHEN dt = '1996-01-01' AND appid % 5 = 0 THEN -1 ELSE positive END AS positive,
+          CASE WHEN dt = '1997-01-01' AND appid % 7 = 0 THEN '1997-02-01' ELSE dt END AS dt
+        FROM (SELECT appid, appid * 10000 + CAST(dt[1:4] AS BIGINT) AS id, positive, dt FROM catalog_daily)
+        UNION ALL SELECT -(appid * 10000 + 1998), positive, '1998-02-01' FROM catalog_daily WHERE dt = '1998-01-01'"""),
+    "list_tables": " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, true AS is_temporary,
+              (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns, (SELECT count(*) FROM {t}) AS n_rows"""
+        for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+                  "conversations").split()),
+    "array_unnest": """SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS place,
+        CAST(unnest(embedding) AS DOUBLE) AS component FROM embeddings""",
+    "replicate_list": _catalog("""SELECT dt, count(*) AS n_rows, 'present' AS replicated, CAST(1 AS BIGINT) AS last_snapshot_id,
+        'replication failed for: [''absent'']' AS failed FROM catalog_daily GROUP BY dt"""),
+    "layered_marts": _catalog(_mart("developer"), _STAGED),
     "developer_rankings": _catalog(_ranked("developer"), _STAGED),
     "publisher_rankings": _catalog(_ranked("publisher"), _STAGED),
     "developer_rankings_latest": _catalog(

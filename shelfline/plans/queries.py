@@ -11,7 +11,8 @@ from shelfline.functions.scoring import (
     int_or_zero, range_high, range_label, range_low,
 )
 from shelfline.operators import modelling, quality, replication
-from shelfline.operators.entities import entity_dimension, mart_for_entities
+from shelfline.operators.distinct import distinct_counts, distinct_states
+from shelfline.operators.entities import entity_dimension, entity_mart, mart_for_entities
 from shelfline.operators.latest import last_written, latest_by, upsert
 from shelfline.operators.ranking import as_of
 from shelfline.operators.tokens import token_counts
@@ -19,8 +20,8 @@ from shelfline.plans import build, catalog
 from shelfline.plans.testdata import (
     catalog_daily, commit_log, landing_path, published_catalog, snapshot_id, versioned_orders,
 )
-from shelfline.session import run_dir
-from shelfline.sources import arrow_sink, files, listing, sinks, snapshots, tables
+from shelfline.session import materialize, run_dir
+from shelfline.sources import arrow_sink, files, listing, merge, serving, sinks, snapshots, tables
 from shelfline.sources.checked import GateError
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, bronze_rows, build_silver, ingest_bronze, read_landing, silver_rows,
@@ -46,8 +47,13 @@ def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.games_mart(_staged(spark, sf_dir))
 
 
+def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging with one row per GAME_KEY, whatever the catalogue holds: entity marts may count rows."""
+    return catalog.stage(catalog_daily(spark, sf_dir), versioned=True)
+
+
 def _mart(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return catalog.entity_model(_staged(spark, sf_dir), entity, unique_input=True)
+    return catalog.entity_model(_unique(spark, sf_dir), entity, unique_input=True)
 
 
 # --- staging, marts, rankings ------------------------------------------------------------------
@@ -70,7 +76,7 @@ def entity_explode(spark, sf_dir):
 
 @query
 def entity_explode_publishers(spark, sf_dir):
-    return catalog.exploded(_staged(spark, sf_dir), "publisher", unique_input=True)
+    return catalog.exploded(_unique(spark, sf_dir), "publisher", unique_input=True)
 
 
 @query
@@ -91,13 +97,27 @@ def publishers_mart(spark, sf_dir):
 @query
 def developers_mart_full_list(spark, sf_dir):
     """Every listed developer, measures only from reviewed games."""
-    staged = _staged(spark, sf_dir)
+    staged = _unique(spark, sf_dir)
     listed = catalog.exploded(staged, "developer", unique_input=True)
     reviewed = staged.filter("positive + negative > 0")
     mart = catalog.entity_model(reviewed, "developer", unique_input=True)
     return mart_for_entities(listed, mart, "developer", "partition_date")
 
 
+@query
+def developers_all_time(spark, sf_dir):
+    """Games of a developer over all dates, from states stored by date; a date written twice and repeated rows count once."""
+    rows = catalog.exploded(_staged(spark, sf_dir), "developer", unique_input=True)
+    path = run_dir(spark, "states")
+    repeated = rows.unionByName(rows.filter("app_id % 3 = 0"))
+    states = distinct_states(repeated, ["developer", "partition_date"], "app_id")
+    sinks.publish_partitions(states, path, "partition_date")
+    sinks.publish_partitions(states.filter("partition_date = '1996-01-01'"), path, "partition_date")
+    stored = read_published(spark, path, states.schema, part="partition_date")
+    dates = stored.groupBy("developer").agg(F.countDistinct("partition_date").alias("n_dates"))
+    return distinct_counts(stored, ["developer"], "num_games").join(dates, "developer")
+
+
 @query
 def developer_rankings(spark, sf_dir):
     return catalog.entity_rankings(_mart(spark, sf_dir, "developer"), "developer")
@@ -111,7 +131,7 @@ def publisher_rankings(spark, sf_dir):
 @query
 def developer_rankings_latest(spark, sf_dir):
     """The date is part of the mart's grain, so it is chosen before the aggregation."""
-    newest = as_of(_staged(spark, sf_dir), "partition_date", "latest")
+    newest = as_of(_unique(spark, sf_dir), "partition_date", "latest")
     return catalog.entity_rankings(catalog.entity_model(newest, "developer", unique_input=True), "developer")
 
 
@@ -240,6 +260,17 @@ def dedup_latest(spark, sf_dir):
     return latest_by(read_table(spark, sf_dir, "events"), ["user_id"], "ts", ("event_id",))
 
 
+@query
+def latest_bucketed(spark, sf_dir):
+    """The same from a serving table bucketed by user, filled by two loads."""
+    events = read_table(spark, sf_dir, "events")
+    path = run_dir(spark, "serving")
+    name = "serving_" + path.rsplit("-", 1)[1]
+    for load in (0, 1):
+        serving.append_bucketed(events.filter(F.col("event_id") % 2 == load), name, ["user_id"], 8, ["user_id", "ts"], path)
+    return serving.newest_versions(spark, name, ["user_id"], "ts", ("event_id",))
+
+
 @query
 def last_written_by_key(spark, sf_dir):
     return last_written(read_table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey")
@@ -247,13 +278,13 @@ def last_written_by_key(spark, sf_dir):
 
 @query
 def entity_dim(spark, sf_dir):
-    listed = catalog.exploded(_staged(spark, sf_dir), "developer", unique_input=True)
+    listed = catalog.exploded(_unique(spark, sf_dir), "developer", unique_input=True)
     return entity_dimension(listed, "developer", "partition_date", "developer_id")
 
 
 @query
 def entity_dim_publishers(spark, sf_dir):
-    listed = catalog.exploded(_staged(spark, sf_dir), "publisher", unique_input=True)
+    listed = catalog.exploded(_unique(spark, sf_dir), "publisher", unique_input=True)
     return entity_dimension(listed, "publisher", "partition_date", "publisher_id")
 
 
@@ -357,6 +388,15 @@ def partition_records(spark, sf_dir):
     return stats.select("dt", "record_count")
 
 
+@query
+def list_tables(spark, sf_dir):
+    """The tables of a session, with their columns and rows."""
+    names = {path.rsplit("/", 1)[1].removesuffix(".parquet") for path in files.list_names(spark, sf_dir)}
+    for name in sorted(names):
+        read_table(spark, sf_dir, name).createOrReplaceTempView(f"listed_{name}")
+    return tables.list_tables(spark, "listed_*").withColumn("table_name", F.expr("substring(table_name, 8)"))
+
+
 @query
 def describe_table(spark, sf_dir):
     return tables.describe(read_table(spark, sf_dir, "lineitem"))
@@ -382,6 +422,14 @@ def json_array_unnest(spark, sf_dir):
     return tables.json_elements(documents, "doc", "facts", "bigint", ["event_id"], "fact")
 
 
+@query
+def array_unnest(spark, sf_dir):
+    """Components of stored arrays as rows, with their place."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return tables.array_elements(vectors, "embedding", ["vec_id"], "component").withColumn(
+        "component", F.col("component").cast("double"))
+
+
 # --- landing, bronze, silver -------------------------------------------------------------------
 
 
@@ -526,6 +574,30 @@ def replicate_table(spark, sf_dir):
     return read_published(spark, target.path, daily.schema)
 
 
+@query
+def replicate_list(spark, sf_dir):
+    """Two tables in turn, of which one's source is gone: the other is copied all the same, and the failure is named."""
+    daily = published_catalog(spark, sf_dir)[0].select("appid", "positive", "dt")
+    base = run_dir(spark, "list")
+    sinks.publish_partitions(daily, f"{base}/present")
+    log = _log(spark, [(1, "2026-01-01", daily, replication.ADDED)])
+
+    def job(table: str):
+        source = replication.PathSource(spark, f"{base}/{table}", daily.schema)
+        return lambda: replication.replicate(
+            spark, source, sinks.PathTarget(spark, f"{base}/copy-{table}"), f"{base}/state", table, *log)
+
+    try:
+        replication.replicate_tables({"absent": job("absent"), "present": job("present")})
+    except RuntimeError as error:
+        failed = str(error)
+    state = replication.latest_state(replication.read_state(spark, f"{base}/state")).collect()  # a row a table
+    copied = sinks.partition_counts(read_published(spark, f"{base}/copy-present", daily.schema))
+    return copied.withColumns({
+        "replicated": F.lit(",".join(r.table_name for r in state)),
+        "last_snapshot_id": F.lit(state[0].last_snapshot_id).cast("bigint"), "failed": F.lit(failed)})
+
+
 @query
 def changed_by_mtime(spark, sf_dir):
     """Partitions with files younger than the recorded state, after the newest was republished."""
@@ -631,6 +703,21 @@ def upsert_merge(spark, sf_dir):
     )
 
 
+@query
+def merge_partitions(spark, sf_dir):
+    """Entries that change, entries that move to another date, and new ones; other dates keep their files."""
+    daily, _ = published_catalog(spark, sf_dir)
+    table = daily.select(
+        (F.col("appid") * 10_000 + F.substring("dt", 1, 4).cast("bigint")).alias("id"), "positive", "dt")
+    path = run_dir(spark, "merge")
+    sinks.publish_partitions(table, path)
+    changed = table.filter("dt = '1996-01-01' AND id DIV 10000 % 5 = 0").withColumn("positive", F.lit(-1).cast("bigint"))
+    moved = table.filter("dt = '1997-01-01' AND id DIV 10000 % 7 = 0").withColumn("dt", F.lit("1997-02-01"))
+    new = table.filter("dt = '1998-01-01'").withColumns({"id": -F.col("id"), "dt": F.lit("1998-02-01")})
+    merge.merge_partitions(spark, path, table.schema, changed.unionByName(moved).unionByName(new), ["id"])
+    return read_published(spark, path, table.schema)
+
+
 @query
 def soft_delete_flag(spark, sf_dir):
     """A customer counts as deleted when an order of theirs is in state P."""
@@ -801,6 +888,17 @@ def stored_rankings(spark, sf_dir):
     return build.metric_models(spark, marts, silver, when="latest")["top_games_ranked"]
 
 
+@query
+def layered_marts(spark, sf_dir):
+    """Staging as a view, the exploded rows inlined, the mart as a table partitioned by date."""
+    path = run_dir(spark, "layers")
+    name = path.rsplit("-", 1)[1]
+    staged = materialize(_unique(spark, sf_dir), f"stg_{name}", "view")
+    rows = materialize(catalog.exploded(staged, "developer", unique_input=True), f"int_{name}", "inline")
+    mart = entity_mart(rows, "developer", "app_id", "positive", "negative", "partition_date", unique_input=True)
+    return materialize(mart, f"mart_{name}", "table", "partition_date", path)
+
+
 @query
 def landing_to_rankings(spark, sf_dir):
     """The whole chain: landing, bronze, silver, serving copy, stored marts, developer ranking."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -55,7 +57,7 @@ def get_spark(app: str, master: str | None = None, conf: dict[str, str] | None =
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting gets a fresh temporary folder.
+    Only a local-mode session without that setting gets a fresh temporary folder, which goes when the program ends.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +65,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="shelfline-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
@@ -78,7 +81,16 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{sc.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view", partition: str | None = None) -> DataFrame:
+def clean_runs(spark: SparkSession) -> None:
+    """Removes the work tables of this application. What still reads one of them fails afterwards, so call it when
+    its results are written."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{sc.applicationId}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, name: str, kind: str = "view", partition: str | None = None,
+                location: str | None = None) -> DataFrame:
     """Layer materialisation: staging = view, intermediate = inline, marts and metrics = table."""
     if kind == "inline":
         return df
@@ -88,7 +100,7 @@ def materialize(df: DataFrame, name: str, kind: str = "view", partition: str | N
         writer = df.write.mode("overwrite").format("parquet")
         if partition:
             writer = writer.partitionBy(partition)
-        writer.saveAsTable(name)
+        (writer.option("path", location) if location else writer).saveAsTable(name)
     else:
         raise ValueError(f"unknown materialisation: {kind}")
     return df.sparkSession.table(name)

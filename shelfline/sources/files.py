@@ -34,6 +34,18 @@ def list_partitions(spark: SparkSession, path: str, part: str = "dt") -> list[st
     return sorted(_paths(spark).unescapePathName(n.split("=", 1)[1]) for n in names if n.startswith(f"{part}="))
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """Modification time of a file or folder, in milliseconds."""
+    hadoop_path, fs = _path(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files and folders directly below a path."""
+    hadoop_path, fs = _path(spark, path)
+    return sorted(status.getPath().toString() for status in fs.listStatus(hadoop_path))
+
+
 def catalog_partitions(spark: SparkSession, table: str) -> list[str]:
     """Partition values of a catalog table with one partition column, as the catalog has them."""
     names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]

@@ -15,6 +15,9 @@ from shelfline.sources.files import catalog_partitions, drop_partitions, list_pa
 from shelfline.sources.tables import partition_values, read_published
 
 
+MODE = "partitionOverwriteMode"
+
+
 def _by_partition(df: DataFrame, part: str, sort_by: str | None, rebalance: bool) -> DataFrame:
     """Few well-sized files per partition value. REBALANCE lets AQE split a partition value that
     holds much of the data over several tasks, and merge small ones."""
@@ -46,7 +49,7 @@ def publish_partitions(
     counted, written = _observed(_by_partition(df, part, sort_by, rebalance), part)
     (
         counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option(MODE, "dynamic")
         .partitionBy(part)
         .parquet(path)
     )
@@ -72,17 +75,13 @@ def publish_table(
     out, written = _observed(_by_partition(df.select(*columns, part), part, None, rebalance), part)
     if not spark.catalog.tableExists(table):
         creation = out.writeTo(table).using(provider).partitionedBy(F.col(part))
+        if provider == "parquet":
+            # Built-in tables take no writeTo().overwritePartitions(), and insertInto no mode of its own: the table says
+            # how it is overwritten, so that no session setting is changed under other writers.
+            creation = creation.option(MODE, "dynamic")
         (creation.option("path", location) if location else creation).create()
     elif provider == "parquet":
-        # Built-in tables take no writeTo().overwritePartitions(), and insertInto reads the mode
-        # from the session only.
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            out.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
+        out.write.insertInto(table, overwrite=True)
     else:
         out.writeTo(table).overwritePartitions()
     return written.get["n"]

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfline.sources.files import partition_folder
+from shelfline.sources.files import modified, partition_folder
 
 
-# Schemas of the test tables by path: inferring one is a Spark job of its own.
-_schemas: dict[str, StructType] = {}
+# Schemas of the test tables, by application, path and its time of change: inferring one is a Spark job of its own.
+_schemas: dict[tuple[str, str, int], StructType] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    known = (spark.sparkContext.applicationId, path, modified(spark, path))
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def partitioned_schema(schema: StructType, part: str = "dt") -> StructType:
@@ -112,6 +115,27 @@ def describe(df: DataFrame) -> DataFrame:
     )
 
 
+def list_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """SHOW TABLES with what a reader asks next: table_name, is_temporary, n_columns and n_rows of each table
+    that the pattern names. Counts of Parquet tables read footers."""
+    found = spark.sql(f"SHOW TABLES LIKE '{pattern}'").collect()  # as many as there are tables
+    rows = [
+        spark.table(f"`{r['namespace']}`.`{r['tableName']}`" if r["namespace"] else f"`{r['tableName']}`") for r in found]
+    if not rows:
+        return spark.createDataFrame([], "table_name string, is_temporary boolean, n_columns bigint, n_rows bigint")
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(r["tableName"]).alias("table_name"), F.lit(r["isTemporary"]).alias("is_temporary"),
+            F.lit(len(df.columns)).cast("bigint").alias("n_columns"), "n_rows")
+        for r, df in zip(found, rows)]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def array_elements(df: DataFrame, col: str, keep: list[str], name: str = "element", place: str = "place") -> DataFrame:
+    """Elements of an array column as rows, with their 0-based place; null and empty arrays give none."""
+    return df.select(*keep, F.posexplode(col).alias(place, name))
+
+
 def json_keys(df: DataFrame, col: str) -> DataFrame:
     """Top-level keys of a JSON column with the number of documents that carry them."""
     keys = df.select(F.explode(F.json_object_keys(col)).alias("key"))

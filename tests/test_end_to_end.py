@@ -1,5 +1,9 @@
 """Landing to metrics, with an incremental second day."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +109,19 @@ def test_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster)
+
+
+def test_work_tables_can_be_removed(tmp_path):
+    """In a program of its own, as they are the whole application's."""
+    code = f"""
+import os, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from shelfline import session
+spark = session.get_spark("elsewhere", master="local[2]", conf={{"spark.ui.enabled": "false"}})
+path = session.run_dir(spark, "x")
+spark.range(3).write.parquet(path)
+assert os.path.exists(path.removeprefix("file:"))
+session.clean_runs(spark)
+assert not os.path.exists(path.removeprefix("file:"))
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
