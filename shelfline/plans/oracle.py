@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from shelfline.functions.text import STOP_WORDS
-
 _CATALOG = """
 n AS (SELECT count(*) AS k FROM supplier),
 r AS (
@@ -124,7 +122,9 @@ _WORST_GAMES = """
     game_title, positive, negative, total_reviews, approval_pct
   FROM games WHERE total_reviews > 0 ORDER BY negative DESC, app_id, partition_date LIMIT 10"""
 
-_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+# Words left out of title counts.
+_STOP_WORDS = "the of and a an in to is for on with at by from or be as it my no ii".split()
+_STOP = ", ".join(f"'{w}'" for w in _STOP_WORDS)
 
 
 def _words(column: str, table: str, pattern: str = r"[\s[:punct:]]+") -> str:
