@@ -22,6 +22,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores before them as it takes to differ from every column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def words_of(text: str | Column) -> Column:
     """The words of a text as an array; null has none."""
     text = F.col(text) if isinstance(text, str) else text

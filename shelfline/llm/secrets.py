@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm.frames import stored
+from shelfline.llm.frames import stored, unused
 from shelfline.session import run_dir
 
 
@@ -118,10 +118,13 @@ def scan(df: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...]
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
     known = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
     if known:
-        seen = spark.read.schema(LEDGER).parquet(ledger).select("blob", F.explode("versions").alias("version"))
+        # Of the ledger, only rows of the input's blobs are grouped.
+        addresses = blobs.select("blob").distinct()
+        seen = spark.read.schema(LEDGER).parquet(ledger).join(addresses, "blob", "left_semi").select(
+            "blob", F.explode("versions").alias("version"))
         seen = seen.groupBy("blob").agg(F.collect_set("version").alias("seen"))
         # Which blobs have work left is decided on addresses alone; texts are dealt out for those only.
-        left = blobs.select("blob").distinct().join(seen, "blob", "left").select(
+        left = addresses.join(seen, "blob", "left").select(
             "blob", F.array_except(versions, F.coalesce("seen", F.array().cast("array<string>"))).alias("versions"))
         todo = blobs.dropDuplicates(["blob"]).join(left.filter(F.size("versions") > 0), "blob")
     else:
@@ -130,17 +133,19 @@ def scan(df: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...]
 
     kinds = F.create_map(*[F.lit(x) for i, rule in enumerate(rules) for x in (rule.version, i)])
     rows = spark.read.schema(LEDGER).parquet(ledger).filter(F.size("findings") > 0)
+    rows = rows.join(addresses, "blob", "left_semi") if known else rows
+    own, named = unused(df, "_address", "_blob")
     current = (
         rows.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("all"))
-        .select(F.col("blob").alias("_blob"), F.array_sort(F.transform(
+        .select(F.col("blob").alias(named), F.array_sort(F.transform(
             F.filter(F.array_distinct("all"), lambda f: F.array_contains(versions, f["version"])),
             lambda f: F.struct(f["start"].alias("start"), kinds[f["version"]].alias("rule"), f["end"].alias("end"), f["kind"].alias("kind")),
         )).alias(out))
     )
     # Written first: the join then has plain tables on both sides, and a blob with very many paths can be split.
     current = stored(current, "findings")
-    paths = df.drop(out).withColumn("_address", address)
-    joined = paths.join(current, F.col("_address") == F.col("_blob"), "left").drop("_address", "_blob")
+    paths = df.drop(out).withColumn(own, address)
+    joined = paths.join(current, F.col(own) == F.col(named), "left").drop(own, named)
     empty = F.array().cast("array<struct<start:int,rule:int,end:int,kind:string>>")
     return joined.withColumn(out, F.coalesce(out, empty))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm.frames import stored
+from shelfline.llm.frames import stored, unused
 from shelfline.session import run_dir
 
 LENGTH = 400
@@ -167,7 +167,7 @@ def _with_texts(texts: DataFrame, rows: DataFrame, name: str) -> DataFrame:
     return texts.join(gathered.hint("shuffle_merge"), "id").select("id", "text", name)
 
 
-def _classes(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+def _classes(df: DataFrame, text: str, own: str) -> tuple[DataFrame, DataFrame]:
     """Each row's key and class, and the distinct texts as bytes, bucketed by class."""
     spark: SparkSession = df.sparkSession
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
@@ -177,7 +177,7 @@ def _classes(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     distinct = df.select(name.alias("id"), data.alias("text")).dropDuplicates(["id"])
     writer = distinct.repartition(width, "id").write.bucketBy(width, "id").sortBy("id")
     writer.format("parquet").option("path", run_dir(spark, "texts")).saveAsTable(label)
-    return df.select("*", name.alias("_id")), spark.table(label)
+    return df.select("*", name.alias(own)), spark.table(label)
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: int = CELL) -> DataFrame:
@@ -203,12 +203,14 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, gram
     and equal texts repeat each other throughout. Other columns stay; one named like a result is replaced.
     An empty table gives an empty table.
     """
-    rows, texts = _classes(df.drop(spans, kept), text)
+    rest = df.drop(spans, kept)
+    own, cut_of = unused(rest, "_id", "_class")
+    rows, texts = _classes(rest, text, own)
     windows = stored(repeated_spans(texts, length, gram, cell), "repeats")
-    copies = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    copies = rows.groupBy(F.col(own).alias("id")).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
     gathered = windows.groupBy("id").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
     every = texts.join(gathered.hint("shuffle_merge"), "id", "left").join(
-        copies.select(F.col("_id").alias("id"), "_copies").hint("shuffle_merge"), "id", "left")
+        copies.hint("shuffle_merge"), "id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -229,11 +231,11 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, gram
                 edges = [0, *(e for c in cuts for e in (c["start"], c["end"])), len(data)]
                 removed.append(cuts)
                 left.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, span), pa.array(left, pa.binary())], ["_class", spans, kept])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, span), pa.array(left, pa.binary())], [cut_of, spans, kept])
 
     cut = every.select("id", "text", "runs", "_copies").mapInArrow(
-        run, f"_class binary, `{spans}` array<struct<start:int,end:int>>, `{kept}` binary")
-    return rows.join(cut, F.col("_id") == F.col("_class")).drop("_id", "_class")
+        run, f"`{cut_of}` binary, `{spans}` array<struct<start:int,end:int>>, `{kept}` binary")
+    return rows.join(cut, F.col(own) == F.col(cut_of)).drop(own, cut_of)
 
 
 def size_of(spans: str | Column) -> Column:

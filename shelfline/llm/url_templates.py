@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfline.llm.frames import unused
+
 #: Different children from which a place in the tree is a wildcard, if they are also a tenth of its pages.
 FAN, FAN_SHARE = 20, 0.1
 #: Standard errors within which two shares count as alike.
@@ -118,12 +120,15 @@ def judge(df: DataFrame, rules: tuple[Rule, ...], url: str = "url", labelled: Co
         F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("label", F.lit(0))).alias("bad"), F.count("label").alias("labels"))
     # One row: the overall share of bad labels.
     overall = counted.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("labels"), F.lit(0)), F.lit(0.0)).alias("share"))
+    rest = df.drop(*[c for c in added if c != url])
+    own, plain_of, path_of_url, rule_of, ruled_as, host_key, plain_key, known = unused(
+        rest, "_h", "_p", "_path", "_rule", "_verdict", "_host", "_plain", "_known")
     tree = templates(counted).withColumn("_share", overall.scalar()).select(
-        F.col("host").alias("_host"), F.col("plain").alias("_plain"), F.col("template").alias("template"),
-        ((F.col("bad") + SMOOTHING * F.col("_share")) / (F.col("labels") + SMOOTHING)).alias("purity"), (F.col("labels") > 0).alias("_known"))
-    rows = df.drop(*[c for c in added if c != url]).withColumns({"_h": host, "_p": plain, "_path": path, "_rule": name, "_verdict": verdict})
-    joined = rows.join(tree, (F.col("_h") == F.col("_host")) & (F.col("_p") == F.col("_plain")), "left")
-    method = F.when(F.col("_known") & (F.col("purity") >= REJECTED), "block").otherwise("allow")
+        F.col("host").alias(host_key), F.col("plain").alias(plain_key), F.col("template").alias("template"),
+        ((F.col("bad") + SMOOTHING * F.col("_share")) / (F.col("labels") + SMOOTHING)).alias("purity"), (F.col("labels") > 0).alias(known))
+    rows = rest.withColumns({own: host, plain_of: plain, path_of_url: path, rule_of: name, ruled_as: verdict})
+    joined = rows.join(tree, (F.col(own) == F.col(host_key)) & (F.col(plain_of) == F.col(plain_key)), "left")
+    method = F.when(F.col(known) & (F.col("purity") >= REJECTED), "block").otherwise("allow")
     return joined.select(
-        *[c for c in df.columns if c not in added], F.col("_h").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
-        "template", "purity", F.coalesce("_verdict", method).alias("verdict"))
+        *[c for c in df.columns if c not in added], F.col(own).alias("host"), F.col(path_of_url).alias("path"),
+        F.col(rule_of).alias("rule"), "template", "purity", F.coalesce(ruled_as, method).alias("verdict"))
