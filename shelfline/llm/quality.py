@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.llm.frames import let, words_of
+from shelfline.llm.frames import let, unused, words_of
 
 #: Number of hashed n-gram counts. 1 << 14 doubles are 128 KB.
 BUCKETS = 1 << 14
@@ -67,8 +67,8 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, text: str = "text", key
     return one.select(F.transform("counts", weight).alias("weights"))
 
 
-def shape(text: str = "text") -> dict[str, Column]:
-    """Counts of words and repetition in each whole text, all 0 for null and empty texts."""
+def shape(text: str = "text", words_as: str = "_counted") -> dict[str, Column]:
+    """Counts of words and repetition in each whole text, all 0 for null and empty texts; those of words as one struct."""
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike(r"[^ \x09-\x0D]"))
 
     def repeated(words: Column) -> Column:
@@ -102,7 +102,7 @@ def shape(text: str = "text") -> dict[str, Column]:
         repeated(w).cast("bigint").alias("n_repeat_words"),
     ))
     return {
-        "_counted": counted,
+        words_as: counted,
         "n_symbols": F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(SIGNS)).cast("bigint"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
     }
@@ -113,16 +113,18 @@ def judge(df: DataFrame, weights: DataFrame, text: str = "text", threshold: floa
 
     A document is kept if it passes the base limits and its log_ratio is at least `threshold`. Null and
     empty texts fail the base limits. Input columns and repeated rows stay; columns already named like a
-    result are replaced.
+    result are replaced. Very long texts are counted whole, in one row. An empty table gives an empty table.
     """
+    held, words, mean_ratio = unused(df, "_weights", "_counted", "_score")
     mean = lambda b: F.when(F.size(b) > 0, F.aggregate(
-        b, F.lit(0.0), lambda a, i: a + F.get("_weights", i)) / F.size(b))
-    scored = df.withColumn("_weights", weights.scalar()).withColumns({**shape(text), "_score": let(ngram_buckets(text), mean)})
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    added = {c: F.col(f"_counted.{c}") for c in ("n_words", "word_chars", "n_repeat_words")}
+        b, F.lit(0.0), lambda a, i: a + F.get(held, i)) / F.size(b))
+    scored = df.withColumn(held, weights.scalar()).withColumns({**shape(text, words), mean_ratio: let(ngram_buckets(text), mean)})
+    # One expression over the struct: a filter on the verdict that is pushed below would split words once for each field it names.
+    failed = let(F.col(words), lambda c: (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"]))
+    added = {c: F.col(f"{words}.{c}") for c in ("n_words", "word_chars", "n_repeat_words")}
     return (
-        scored.withColumns({**added, "log_ratio": F.col("_score")})
+        scored.withColumns({**added, "log_ratio": F.col(mean_ratio)})
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("log_ratio") >= threshold, F.lit(False)))
-        .drop("_counted", "_score", "_weights")
+        .drop(words, mean_ratio, held)
     )
