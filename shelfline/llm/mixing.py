@@ -5,17 +5,16 @@ least PIECES blocks if the source has as many words. A source expects as many sl
 gets the whole number below or above by one draw on the fraction: then it is within a block of its target, however
 small it is and however many there are.
 
-With `equal=False`, blocks have BLOCK words but the last of a source, which is what the SQL of op7_block_mix states.
-The output is then made of shards of SHARD slots. Each shard draws how many slots each source gets: the whole part
-of its expected number, and the remaining slots by multinomial draws on the fractions. As a short last block counts
-as a whole one, and as chance may leave out what has few slots in many shards, a source of few blocks can stay far
-below its target. Either way, a source's slots, numbered over all shards, map
-to blocks through a pseudorandom permutation of the block indices (swap-or-not rounds), one pass after the
-other, so each block is taken either k or k + 1 times. Blocks are then joined by index.
+The output is made of shards of about SHARD slots. Every slot of a source falls on one of them by a draw, so the counts of a
+source over the shards are multinomial; as its slots are given, no draw takes it off its target. (Draws of a source
+for every slot of a shard, which fix the shards' sizes instead, left out a third of all small sources.) A source's slots,
+numbered over all shards, map to blocks through a pseudorandom permutation of the block indices (swap-or-not rounds), one
+pass after the other, so each block is taken either k or k + 1 times. Blocks are then joined by index.
 
 Everything random is integer arithmetic on shard, slot and index numbers, so a rerun gives the same mix, and
-SQL can restate it. No text is shuffled. Hot sources are spread: offsets are summed in two levels, and blocks
-and slots meet on (source, block). The table of sources, one row each, is put in order in one task.
+SQL can restate it. All this goes by sizes and hashes; texts are shuffled once, where the mix itself is asked
+for. Hot sources are spread: offsets are summed in two levels, and blocks and slots meet on (source, block). The table of
+sources, one row each, is put in order in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.llm.frames import let, running_total, stored, words_of
+from shelfline.llm.sharding import mark
 
 BLOCK = 128
 SHARD = 4096
@@ -87,104 +87,57 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     ).drop("_level", "_final")
 
 
-def blocks_of(size: Column, block: int, equal: bool) -> Column:
+def blocks_of(size: Column, block: int) -> Column:
     """The number of blocks of a source of `size` words."""
-    whole = F.ceil(size / F.lit(block)).cast("bigint")
-    return F.greatest(whole, F.least(size, F.lit(PIECES))).cast("bigint") if equal else whole
+    return F.greatest(F.ceil(size / F.lit(block)).cast("bigint"), F.least(size, F.lit(PIECES))).cast("bigint")
 
 
-def block_start(index: Column, size: Column, block: int, equal: bool) -> Column:
-    """The first word of a block. Equal blocks differ by a word at most, the longer ones come first."""
-    if not equal:
-        return index * block
-    n = blocks_of(size, block, equal)
+def block_start(index: Column, size: Column, block: int) -> Column:
+    """The first word of a block. Blocks differ by a word at most, the longer ones come first."""
+    n = blocks_of(size, block)
     return index * F.floor(size / n).cast("bigint") + F.least(index, size % n)
 
 
-def block_at(word: Column, size: Column, block: int, equal: bool) -> Column:
+def block_at(word: Column, size: Column, block: int) -> Column:
     """The index of the block that holds a word."""
-    if not equal:
-        return F.floor(word / F.lit(block)).cast("bigint")
-    n = blocks_of(size, block, equal)
+    n = blocks_of(size, block)
     short, longer = F.floor(size / n).cast("bigint"), size % n
     beyond = word - longer * (short + 1)
     return F.when(beyond < 0, F.floor(word / (short + 1))).otherwise(longer + F.floor(beyond / short)).cast("bigint")
 
 
-def even_slots(plan: DataFrame, block: int, most: int) -> DataFrame:
-    """Rows (rank, index, times) as of `slots`, of equal blocks: each source by its own expected number."""
-    width = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = blocks_of(F.col("source_size"), block, True)
+def slot_counts(plan: DataFrame, block: int, most: int) -> DataFrame:
+    """Rows (rank, n_blocks, n): the slots of each source that has any."""
+    n = blocks_of(F.col("source_size"), block)
     # A draw by rank decides on the fraction, as whole numbers.
     expected = F.col("target") / F.col("source_size") * n
     part = F.round((expected - F.floor(expected)) * 1_000_000).cast("bigint")
     drawn = (scramble(F.col("rank").cast("bigint") * 1_000_003 + 1) % 1_000_000 < part).cast("bigint")
-    counts = plan.filter("target > 0").select(
+    return plan.filter("target > 0").select(
         "rank", n.alias("n_blocks"), F.least(F.floor(expected).cast("bigint") + drawn, n * most).alias("n")).filter("n > 0")
-    # In stretches, so that the slots of a large source are made by many tasks.
+
+
+def shard_counts(counts: DataFrame, shard: int) -> DataFrame:
+    """Rows (rank, n_blocks, shard, n): how many slots of a source each output shard gets, by a draw for each slot."""
+    width = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_shards = counts.agg(F.ceil(F.sum("n") / F.lit(shard)).cast("bigint")).scalar()
+    # In stretches, so that the draws of a large source are made by many tasks.
     stretches = counts.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {SHARD})")).alias("stretch"))
-    each = stretches.repartition(width, "rank", "stretch").select("rank", "n_blocks", F.explode(F.expr(
-        f"sequence(stretch * {SHARD}, least(n, (stretch + 1) * {SHARD}) - 1)")).alias("slot"))
-    mapped = permuted(each.withColumn("_place", F.col("slot") % F.col("n_blocks")), "_place", "n_blocks", "rank", "index")
-    return mapped.groupBy("rank", "index").agg(F.count(F.lit(1)).alias("times"))
+    draws = stretches.repartition(width, "rank", "stretch").select("rank", "n_blocks", F.explode(F.expr(
+        f"sequence(stretch * {SHARD}, least(n, (stretch + 1) * {SHARD}) - 1)")).alias("draw"))
+    fallen = scramble(F.col("rank").cast("bigint") * 1_000_003 + F.col("draw") + 2) % n_shards
+    return draws.groupBy("rank", "n_blocks", fallen.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def slots(plan: DataFrame, block: int, shard: int, most: int) -> DataFrame:
-    """Rows (rank, index, times): how often the mix takes each block that it takes.
-
-    A source's slots beyond `most` times its number of blocks, which only chance gives, stay empty.
-    """
-    spark = plan.sparkSession
-    every = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = plan.filter("target > 0")
-    shared = (
-        filled.withColumn("n_blocks", blocks_of(F.col("source_size"), block, False))
-        .withColumn("_all", F.sum("target").over(every))
-        .withColumn("_slots", F.greatest(F.lit(1), F.round(F.col("_all") / block)).cast("bigint"))
-        .withColumn("n_shards", F.ceil(F.col("_slots") / F.lit(shard)).cast("bigint"))
-        .withColumn("_mean", F.col("target") / F.col("_all") * F.col("_slots") / F.col("n_shards"))
-        .withColumn("whole", F.floor("_mean").cast("bigint"))
-        # Fractions as integers, so that the draw compares whole numbers.
-        .withColumn("part", F.round((F.col("_mean") - F.col("whole")) * 1_000_000).cast("bigint"))
-        .withColumn("upto", F.sum("part").over(upto))
-        .withColumn("parts", F.sum("part").over(every))
-        .withColumn("draws", F.round(F.col("parts") / F.lit(1_000_000)).cast("bigint"))
-        .drop("_all", "_slots", "_mean")
-    )
-    # Shards are dealt out by number; each knows its draws, and a draw falls on the source whose stretch of
-    # the fractions holds it. Draws meet stretches by steps of the width of a draw, so the join has a key.
-    one = shared.agg(F.max("n_shards").alias("n_shards"), F.max("draws").alias("draws"), F.max("parts").alias("parts"))
-    drawn = (
-        one.select(F.explode(F.expr("sequence(0L, n_shards - 1)")).alias("shard"), "draws", "parts")
-        .filter("draws > 0")
-        .select("shard", "parts", F.explode(F.expr("sequence(0L, draws - 1)")).alias("draw"))
-        .withColumn("at", scramble(F.col("shard") * 1_000_003 + F.col("draw")) % F.col("parts"))
-        .withColumn("step", F.floor(F.col("at") / F.lit(1_000_000)).cast("bigint"))
-    )
-    stretches = shared.filter("part > 0").select(
-        "rank", F.col("upto").alias("upto"), (F.col("upto") - F.col("part")).alias("start"),
-        F.explode(F.sequence(
-            F.floor((F.col("upto") - F.col("part")) / F.lit(1_000_000)).cast("bigint"),
-            F.floor((F.col("upto") - 1) / F.lit(1_000_000)).cast("bigint"))).alias("step"),
-    )
-    extra = (
-        drawn.join(stretches, "step").filter("at >= start AND at < upto")
-        .groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n_extra"))
-    )
-    counts = (
-        shared.select("rank", "n_blocks", "whole", F.explode(F.expr("sequence(0L, n_shards - 1)")).alias("shard"))
-        .join(extra, ["rank", "shard"], "left")
-        .select("rank", "shard", "n_blocks", (F.col("whole") + F.coalesce("n_extra", F.lit(0))).alias("n"))
-        .filter("n > 0")
-    )
+    """Rows (rank, index, times): how often the mix takes each block that it takes."""
+    width = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored(shard_counts(slot_counts(plan, block, most), shard), "shards")
     numbered = running_total(counts, ["rank"], F.floor(F.col("shard") / F.lit(CHUNKS)), [F.col("shard")], "n", "first")
     # A few bytes a row become many slots: a fixed number of partitions, which isn't merged for small bytes.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     each = numbered.repartition(width, "rank", "shard").select(
-        "rank", "n_blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot")
-    ).filter(F.col("slot") < F.col("n_blocks") * most).withColumn("_place", F.col("slot") % F.col("n_blocks"))
-    mapped = permuted(each, "_place", "n_blocks", "rank", "index")
+        "rank", "n_blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
+    mapped = permuted(each.withColumn("_place", F.col("slot") % F.col("n_blocks")), "_place", "n_blocks", "rank", "index")
     return mapped.groupBy("rank", "index").agg(F.count(F.lit(1)).alias("times"))
 
 
@@ -195,74 +148,77 @@ def _chunk(df: DataFrame, key: str) -> Column:
 
 
 def _mixed(df: DataFrame, key: str, text: str, source: str, block: int, shard: int, weights: tuple[int, ...],
-           share: float, most: int, equal: bool, carry: bool) -> DataFrame:
-    """Rows of the mix: key, source, size, source_size, target, start, taken, and with `carry` the input row
-    and the blocks that the mix takes of it."""
-    rows = df.select(
+           share: float, most: int, mark: Column, carry: bool) -> DataFrame:
+    """Rows of the mix: key, source, mark, size, source_size, target, start, taken, and with `carry` the blocks that the mix
+    takes of it. `mark` tells rows with equal keys apart."""
+    rows = stored(df.select(
         F.col(key).alias("key"), F.col(source).alias("source"), F.size(words_of(text)).cast("bigint").alias("size"),
-        F.xxhash64(F.col(text)).alias("mark"), *[F.struct("*").alias("row")] * carry,
-    )
-    # Without the texts the rows are small, and counted once.
-    rows = rows if carry else stored(rows, "sizes")
+        mark.alias("mark")), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = targets(sizes, weights, share, most)
+    plan = stored(targets(sizes, weights, share, most), "targets")
     placed = running_total(
         rows, ["source"], _chunk(rows, "key"), [F.col("key").asc_nulls_first(), F.col("size"), F.col("mark")], "size", "start")
-    known = placed.join(plan.alias("p"), placed["source"].eqNullSafe(F.col("p.source"))).select(
-        placed["key"], placed["source"], "size", "start", "rank", "source_size", "target", *["row"] * carry)
+    known = stored(placed.join(plan.alias("p"), placed["source"].eqNullSafe(F.col("p.source"))).select(
+        placed["key"], placed["source"], "mark", "size", "start", "rank", "source_size", "target"), "places")
     all_words = F.col("source_size")
     parts = known.filter("size > 0").select("rank", "start", "size", "source_size", F.explode(F.sequence(
-        block_at(F.col("start"), all_words, block, equal),
-        block_at(F.col("start") + F.col("size") - 1, all_words, block, equal))).alias("index"))
-    overlap = F.least(F.col("start") + F.col("size"), block_start(F.col("index") + 1, all_words, block, equal)) - F.greatest(
-        F.col("start"), block_start(F.col("index"), all_words, block, equal))
-    chosen = even_slots(plan, block, most) if equal else slots(plan, block, shard, most)
-    # A document is a stretch of its source: (rank, start) is its own, also among repeated rows.
+        block_at(F.col("start"), all_words, block),
+        block_at(F.col("start") + F.col("size") - 1, all_words, block))).alias("index"))
+    overlap = F.least(F.col("start") + F.col("size"), block_start(F.col("index") + 1, all_words, block)) - F.greatest(
+        F.col("start"), block_start(F.col("index"), all_words, block))
+    # A document is a stretch of its source: (rank, start) is its own, also among repeated rows. Both sides grow with the
+    # corpus, so the joins are merges at every size.
     taken = (
         parts.select("rank", "start", "index", overlap.alias("n"))
-        .join(chosen, ["rank", "index"])
+        .join(slots(plan, block, shard, most).hint("merge"), ["rank", "index"])
         .groupBy(F.col("rank").alias("_rank"), F.col("start").alias("_first")).agg(
             F.sum(F.col("n") * F.col("times")).alias("taken"),
             *[F.array_sort(F.collect_list(F.struct("index", "times"))).alias("blocks")] * carry)
     )
     keyed = known.withColumn("_start", F.when(F.col("size") > 0, F.col("start")))
     same = (F.col("rank") == F.col("_rank")) & (F.col("_start") == F.col("_first"))
-    return keyed.join(taken, same, "left").select(
-        "key", "source", "size", "source_size", "target", "start",
-        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *["row", "blocks"] * carry)
+    return keyed.join(taken.hint("merge"), same, "left").select(
+        "key", "source", "mark", "size", "source_size", "target", "start",
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *["blocks"] * carry)
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-        most: int = MOST, equal: bool = True) -> DataFrame:
+        most: int = MOST) -> DataFrame:
     """One row per input row: key, source, size, source_size, target and taken, the words that the mix takes
-    from the document, repeats counted. `shard` counts without `equal` only.
+    from the document, repeats counted.
 
-    Size is the number of words; null and empty texts have 0 and nothing taken. A null source is a source
-    like any other. Repeated rows and repeated or null keys are documents of their own. Other columns are
+    Size is the number of words of the whole text, however long; null and empty texts have 0 and nothing taken. A null
+    source is a source like any other. Repeated rows and repeated or null keys are documents of their own. Other columns are
     not carried, so their names can't clash. An empty table gives an empty table.
     """
-    out = _mixed(df, key, text, source, block, shard, weights, share, most, equal, False)
+    out = _mixed(df, key, text, source, block, shard, weights, share, most, F.xxhash64(F.col(text)), False)
     return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "taken")
 
 
 def mixed_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                 block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-                most: int = MOST, equal: bool = True) -> DataFrame:
+                most: int = MOST) -> DataFrame:
     """The mix itself, with the columns of the input: one row for each time that words of a document are
     taken, at most `most`.
 
     The first row of a document has the words that the mix takes once or more, the second those that it
     takes twice, and so on. A text that is taken whole stays as it is; of others the taken words are joined
-    by spaces. Documents of which nothing is taken, null and empty texts among them, are left out.
+    by spaces. Documents of which nothing is taken, null and empty texts among them, are left out. Rows that are equal in all
+    columns meet their texts as one row; an empty table gives an empty table.
     """
-    out = _mixed(df, key, text, source, block, shard, weights, share, most, equal, True).filter("taken > 0")
+    others = [c for c in df.columns if c not in (key, text, source)]
+    whole = mark([(source, True), (key, True), *((c, False) for c in others), (text, True)])
+    out = _mixed(df, key, text, source, block, shard, weights, share, most, whole, True).filter("taken > 0")
     rounds = F.sequence(F.lit(1), F.aggregate("blocks", F.lit(0).cast("bigint"), lambda a, b: F.greatest(a, b["times"])).cast("int"))
-    each = out.select("row", "size", "source_size", "start", "blocks", F.explode(rounds).alias("round"))
+    each = out.select("mark", "size", "source_size", "start", "blocks", F.explode(rounds).alias("round"))
+    # Dealt by the mark first, so that only the joining side sorts texts.
+    once = df.select(whole.alias("mark"), F.struct("*").alias("row")).repartition("mark").groupBy("mark").agg(F.first("row").alias("row"))
+    each = each.join(once.hint("merge"), "mark")
     body = F.col(f"row.`{text}`")
 
     def cut(words: Column) -> Column:
-        at = lambda index: block_start(index, F.col("source_size"), block, equal) - F.col("start")
+        at = lambda index: block_start(index, F.col("source_size"), block) - F.col("start")
         first = lambda b: F.greatest(at(b["index"]), F.lit(0))
         last = lambda b: F.least(at(b["index"] + 1), F.col("size"))
         some = F.filter("blocks", lambda b: b["times"] >= F.col("round"))

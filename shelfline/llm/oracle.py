@@ -14,6 +14,12 @@ def _scramble(x: str) -> str:
     return f"({square} * {square} % 2147483647)"
 
 
+def _block_at(word: str) -> str:
+    """The block of a word: the longer ones come first."""
+    return (f"(CASE WHEN {word} < longer * (short + 1) THEN {word} // (short + 1) "
+            f"ELSE longer + ({word} - longer * (short + 1)) // short END)")
+
+
 def _rounds() -> str:
     """One common table per round of the index permutation."""
     out = []
@@ -38,30 +44,19 @@ l AS (SELECT *, (sum(source_size) OVER ()::double * 1.5::double
 f AS (SELECT arg_min(level, (fill, rank)) AS level FROM l WHERE level * weight <= 2 * source_size),
 t AS (SELECT rank, source, source_size, coalesce(least(2 * source_size::double, f.level * weight), 2 * source_size::double) AS target
       FROM l LEFT JOIN f ON true),
-n AS (SELECT *, sum(target) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total FROM t WHERE target > 0),
-m AS (SELECT *, ceil(source_size / {mixing.BLOCK})::bigint AS n_blocks, greatest(1, round(total / {mixing.BLOCK}))::bigint AS all_slots FROM n),
-h AS (SELECT *, ceil(all_slots / {mixing.SHARD})::bigint AS n_shards FROM m),
-e AS (SELECT *, target / total * all_slots / n_shards AS mean FROM h),
-q AS (SELECT *, floor(mean)::bigint AS whole, round((mean - floor(mean)) * 1000000)::bigint AS part FROM e),
-u AS (SELECT *, sum(part) OVER (ORDER BY rank)::bigint AS upto, sum(part) OVER ()::bigint AS parts FROM q),
-v AS (SELECT shard, pick FROM (
-        SELECT shard, {_scramble("shard * 1000003 + draw")} % parts AS pick
-        FROM (SELECT shard, parts, unnest(range(round(parts / 1000000)::bigint)) AS draw
-              FROM (SELECT unnest(range(max(n_shards))) AS shard, max(parts) AS parts FROM u) WHERE parts > 0))),
-x AS (SELECT rank, shard, count(*) AS extra FROM v JOIN u ON pick >= upto - part AND pick < upto GROUP BY ALL),
-c AS (SELECT rank, n_blocks, shard, whole + coalesce(extra, 0) AS n
-      FROM (SELECT rank, n_blocks, whole, unnest(range(n_shards)) AS shard FROM u) LEFT JOIN x USING (rank, shard)),
-k AS (SELECT rank, n_blocks, sum(n)::bigint AS n FROM c GROUP BY ALL),
+n AS (SELECT *, greatest(ceil(source_size / {mixing.BLOCK})::bigint, least(source_size, {mixing.PIECES})) AS n_blocks FROM t WHERE target > 0),
+m AS (SELECT *, source_size // n_blocks AS short, source_size % n_blocks AS longer, target / source_size * n_blocks AS expected FROM n),
+k AS (SELECT rank, n_blocks, least({mixing.MOST} * n_blocks, floor(expected)::bigint + CASE
+        WHEN {_scramble("rank * 1000003 + 1")} % 1000000 < round((expected - floor(expected)) * 1000000)::bigint THEN 1 ELSE 0 END) AS n FROM m),
 p0 AS (SELECT rank, n_blocks, slot % n_blocks AS x FROM (SELECT rank, n_blocks, unnest(range(n)) AS slot FROM k)
-       WHERE slot < 2 * n_blocks),{_rounds()},
+      ),{_rounds()},
 times AS (SELECT rank, x AS index, count(*) AS times FROM p{mixing.ROUNDS} GROUP BY ALL),
-a AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rank, sum(size) OVER (
+a AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rank, short, longer, sum(size) OVER (
         PARTITION BY t.rank ORDER BY doc_id % {mixing.CHUNKS}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::bigint - size AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-b AS (SELECT *, unnest(CASE WHEN size = 0 THEN [NULL] ELSE
-        range(start // {mixing.BLOCK}, (start + size - 1) // {mixing.BLOCK} + 1) END) AS index FROM a)
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN m ON m.rank = t.rank),
+b AS (SELECT *, unnest(CASE WHEN size = 0 THEN [NULL] ELSE range({_block_at("start")}, {_block_at("(start + size - 1)")} + 1) END) AS index FROM a)
 SELECT doc_id, size, source_size, target, coalesce(sum(times * (
-         least(start + size, (index + 1) * {mixing.BLOCK}) - greatest(start, index * {mixing.BLOCK}))), 0)::bigint AS taken
+         least(start + size, (index + 1) * short + least(index + 1, longer)) - greatest(start, index * short + least(index, longer)))), 0)::bigint AS taken
 FROM b LEFT JOIN times USING (rank, index) GROUP BY doc_id, size, source_size, target, rank, start
 """
 
