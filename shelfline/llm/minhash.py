@@ -22,13 +22,15 @@ probability 8e-5, and then, by a rough count, none of the 32 others in 0.2% of c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from shelfline.llm.components import components
 from shelfline.llm.frames import stored
@@ -203,67 +205,105 @@ class _Lowest:
         return np.where(exact, 100 * common >= PERCENT * seen, near), value
 
 
+def _by_unit(rows: DataFrame, compare: Callable[[list[tuple]], Iterator[tuple]], schema: StructType) -> DataFrame:
+    """What `compare` makes of all rows of each unit, the first column, together."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+
+        def made(unit: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = compare(unit)
+            while some := list(islice(found, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), arrow.types)], schema.names)
+
+        for batch in batches:
+            columns = [
+                (x.values.to_numpy() for x in c) if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns]
+            for row in zip(*columns):
+                if waiting and waiting[0][0] != row[0]:
+                    yield from made(waiting)
+                    waiting = []
+                waiting.append(row)
+        if waiting:
+            yield from made(waiting)
+
+    return rows.repartition(width, "unit").sortWithinPartitions("unit").mapInArrow(run, schema)
+
+
+class _Unit:
+    """Rows (unit, second, alone, node, root, n, registers, ...) of one unit."""
+
+    def __init__(self, rows: list[tuple]):
+        self.roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        self.registers = np.frombuffer(b"".join(r[6] for r in rows), np.uint16).reshape(len(rows), -1)
+        self.n = np.array([r[5] for r in rows], float)
+        self.side, self.alone = np.array([r[1] for r in rows]), rows[0][2]
+
+    def partners(self, i: int, once: bool = False) -> np.ndarray:
+        """Rows of other components that the registers leave possible for row i: of the same block, or of the other one if
+        the unit has two. With `once`, each pair comes from one of its rows only."""
+        where = self.roots != self.roots[i]
+        if not self.alone:
+            where &= (self.side != self.side[i]) & (not once or not self.side[i])
+        elif once:
+            where &= np.arange(len(where)) > i
+        others = np.flatnonzero(where)
+        if len(others):
+            own = np.broadcast_to(self.registers[i], (len(others), self.registers.shape[1]))
+            others = others[likely(own, self.registers[others], np.full(len(others), self.n[i]), self.n[others])]
+        return others
+
+
 def _crossing(members: DataFrame, nodes: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
     """Pairs (a, b) of different components in rows (key, m, node, root), m nodes having the key, that registers
     and smallest hashes leave possible; with `best`, only the likeliest partner of each node that isn't in the
     largest component of its blocks.
 
-    A key is dealt out as pairs of blocks of BLOCK nodes or so, each compared in one step of a task.
+    A key is dealt out as pairs of blocks of BLOCK nodes or so, each compared in one step of a task: first on registers alone, then, for
+    nodes that have a possible partner left in the unit, on their smallest hashes too.
     """
     dealt = members.withColumn("blocks", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Items are sorted, so the first are the smallest.
-    lowest = F.transform(F.slice("items", 1, LOWEST), lambda h: F.shiftrightunsigned(h, 33).cast("int"))
-    dealt = dealt.join(nodes.select("node", "n", "registers"), "node").join(sets.select("node", lowest.alias("lowest")), "node")
+    dealt = dealt.join(nodes.select("node", "n", "registers"), "node")
     each = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.concat_ws("-", "key", F.least("block", "_with"), F.greatest("block", "_with")).alias("unit"),
         (F.col("block") > F.col("_with")).cast("int").alias("second"), (F.col("block") == F.col("_with")).alias("alone"),
-        "node", "root", "n", "registers", "lowest")
-    width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        "node", "root", "n", "registers")
+
+    def hopeful(rows: list[tuple]) -> Iterator[tuple]:
+        # Partners of a node are marked with it and not looked at again, so units of near copies cost little here.
+        unit, some = _Unit(rows), np.zeros(len(rows), bool)
+        if unit.roots.max() > 0:
+            for i in range(len(rows)):
+                if not some[i]:
+                    others = unit.partners(i)
+                    some[others] = True
+                    some[i] = len(others) > 0
+        yield from (rows[i] for i in np.flatnonzero(some))
 
     def compare(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        roots = np.unique([r[4] for r in rows], return_inverse=True)[1]
-        largest = np.bincount(roots).argmax()
-        seeking = np.flatnonzero(roots != largest) if best else np.arange(len(rows))
-        if roots.max() == 0:
+        unit = _Unit(rows)
+        if unit.roots.max() == 0:
             return
-        registers = np.frombuffer(b"".join(r[6] for r in rows), np.uint16).reshape(len(rows), -1)
-        n = np.array([r[5] for r in rows], float)
-        lowest = _Lowest([r[7] for r in rows], n)
-        side = np.array([r[1] for r in rows])
-        for i in seeking:
-            row = rows[i]
-            # Within a block each pair once; of two blocks, the first against the second. The best partner
-            # is sought from both ends.
-            open_to = (np.arange(len(rows)) > i) | best if row[2] else (side != side[i]) & (best or not side[i])
-            others = np.flatnonzero(open_to & (roots != roots[i]))
-            if len(others):
-                own = np.broadcast_to(registers[i], (len(others), registers.shape[1]))
-                others = others[likely(own, registers[others], np.full(len(others), n[i]), n[others])]
+        largest = np.bincount(unit.roots).argmax()
+        lowest = _Lowest([r[7] for r in rows], unit.n)
+        # The best partner is sought from both ends.
+        for i in np.flatnonzero(unit.roots != largest) if best else range(len(rows)):
+            others = unit.partners(i, once=not best)
             if len(others):
                 near, value = lowest.possible(i, others)
                 found, value = others[near], value[near]
                 for j in found[[value.argmax()]] if best and len(found) else found:
-                    yield row[3], rows[j][3]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-
-        def made(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            found = compare(rows)
-            while some := list(islice(found, 10_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*some)], ["a", "b"])
+                    yield rows[i][3], rows[j][3]
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), (x.values.to_numpy() for x in batch.columns[-1])):
-                if waiting and waiting[0][0] != row[0]:
-                    yield from made(waiting)
-                    waiting = []
-                waiting.append(row)
-        if waiting:
-            yield from made(waiting)
-
-    pairs = each.repartition(width, "unit").sortWithinPartitions("unit").mapInArrow(run, "a binary, b binary")
+    # Items are sorted, so the first are the smallest.
+    smallest = F.transform(F.slice("items", 1, LOWEST), lambda h: F.shiftrightunsigned(h, 33).cast("int"))
+    left = stored(_by_unit(each, hopeful, each.schema), "hopeful")
+    whole = left.join(sets.select("node", smallest.alias("lowest")), "node").select(*each.columns, "lowest")
+    ends = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+    pairs = _by_unit(whole, compare, ends)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
