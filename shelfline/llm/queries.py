@@ -73,8 +73,7 @@ def op6_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # As its SQL has it, with a short last block: the pipeline's mix cuts equal blocks.
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), equal=False)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -88,7 +87,9 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes")))
     return cut.select(
         "doc_id", "n_bytes", substrings.size_of("removed").alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_bytes") - substrings.size_of("removed")).alias("n_kept"),
+        F.array_join(F.transform("removed", lambda r: F.concat_ws(":", *[r[c].cast("string") for c in ("start", "end")])), ",").alias("removed"))
 
 
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
