@@ -292,7 +292,8 @@ def _long(rows: DataFrame, path_a: str, path_b: str, span: int) -> DataFrame:
             break
     # Sizes of groups are the steps between the places where both tokenizers end.
     steps = lambda c: F.transform(c, lambda x, i: x - F.when(i > 0, F.get(c, i - 1)).otherwise(0))
-    whole = parts.select("doc", "a", "b", steps(F.col("a_cuts")).alias("a_sizes"), steps(F.col("b_cuts")).alias("b_sizes"))
+    # Written first: a Python worker after another in one task would double the workers that an executor keeps.
+    whole = stored(parts, "composed").select("doc", "a", "b", steps(F.col("a_cuts")).alias("a_sizes"), steps(F.col("b_cuts")).alias("b_sizes"))
     return numbered.select("doc", "row").join(whole, "doc").select(
         "row", F.col("a").alias("a_ids"), F.col("b").alias("b_ids"), "a_sizes", "b_sizes")
 
