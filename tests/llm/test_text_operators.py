@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -184,17 +185,74 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert hit >= 0.85 * sum(r.toxic for r in rows) and hit >= 0.9 * sum(r.predicted for r in rows)
 
 
+def fitted(spark, texts, labels, penalty):
+    sample = spark.createDataFrame(list(zip(texts, labels)), "text string, label int")
+    return toxicity.fit(sample, (sum(labels) + 1) / (len(labels) + 2), penalty)
+
+
+def test_the_slope_of_the_loss():
+    """Against differences of the loss, with the swaps' changes spelt out."""
+    rng = np.random.default_rng(3)
+    x, y = (rng.random((40, 6)) < 0.4).astype(float), (rng.random(40) < 0.5).astype(float)
+    d = rng.integers(-1, 2, (9, 6)).astype(float)
+    w, bias = rng.normal(size=6), 0.3
+    value, slope = toxicity.loss(w, bias, x, y, d.T @ d, len(d), 2.5)
+    p = 1 / (1 + np.exp(-(x @ w + bias)))
+    plain = -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() + toxicity.RIDGE / 2 * (w @ w) + 2.5 * ((d @ w) ** 2).mean()
+    assert abs(value - plain) < 1e-9
+    for k in range(7):
+        step = np.eye(7)[k] * 1e-6
+        up, down = (toxicity.loss(w + s * step[:6], bias + s * step[6], x, y, d.T @ d, len(d), 2.5)[0] for s in (1, -1))
+        assert abs((up - down) / 2e-6 - slope[k]) < 1e-6
+
+
+def test_swaps_like_a_plain_count(spark):
+    texts = ["the women ran. old men sat! nobody", "Black cats and white cats\nblack", None, "", "no terms here", "women " * 3]
+    index = {f: i for i, f in enumerate(["women", "men", "girls", "blac*", "black", "white", "old"])}
+    want = Counter()
+    for t in texts:
+        for before, after in toxicity.swapped(t or ""):
+            d = np.zeros(len(index))
+            for f, i in index.items():
+                d[i] = (f in before) - (f in after)
+            want["pairs"] += 1
+            want["moved"] += bool(d.any())
+    got = [c for t in texts for c in toxicity.changes(t or "", index, toxicity.IDENTITY)]
+    assert len(got) == want["pairs"] == 17 and sum(map(bool, got)) == want["moved"]
+    assert {tuple(sorted(c.items())) for c in toxicity.changes("the women ran", index, toxicity.IDENTITY)} == {
+        ((0, 1), (1, -1)), ((0, 1), (2, -1)), ((0, 1),)}
+
+
+def test_neutral_mentions_are_not_blocked(spark):
+    """A group named in toxic sentences only: neutral mentions of it are blocked without the penalty, not with it."""
+    random.seed(5)
+    other = lambda: " ".join(random.choice("stone river cloud field road tree house lamp".split()) for _ in range(8))
+    insults = ["vermin", "filth", "scum"]
+    bad = [f"{other()}. the refugees are {random.choice(insults)}. {other()}" for _ in range(80)]
+    good = [f"{other()}. {other()}" for _ in range(80)]
+    plain, fair = (fitted(spark, bad + good, [1] * 80 + [0] * 80, p) for p in (0.0, 20.0))
+    neutral = [f"{other()}. the {g} met at noon. {other()}" for g in ("refugees", "natives", "immigrants", "foreigners") for _ in range(10)]
+    false = lambda m: sum(m.score(t) >= 0.3 for t in neutral)
+    caught = lambda m: sum(m.score(f"{other()}. those {g} are {i}.") >= 0.3 for g in ("refugees", "natives") for i in insults)
+    assert fair.moved == fair.pairs > 0 and false(plain) >= 10 and false(fair) == 0 and caught(fair) == 6
+
+
 def test_neutral_mentions_under_the_penalty(spark):
     random.seed(1)
     other = lambda: " ".join(random.choice("stone river cloud field road tree house lamp".split()) for _ in range(12))
     bad = [f"{other()}. the muslims are {random.choice(['vermin', 'filth'])}. {other()}" for _ in range(60)]
     good = [f"{other()}. the christians met. {other()}" for _ in range(60)]
     texts, labels = bad + good, [1] * 60 + [0] * 60
-    plain, fair = (toxicity.fit(texts, labels, penalty=p) for p in (0.0, 20.0))
+    plain, fair = (fitted(spark, texts, labels, p) for p in (0.0, 20.0))
     neutral = "the muslims met."
     assert fair.score(neutral) < plain.score(neutral)
     assert fair.score("the christians are vermin.") > 0.3
-    assert toxicity.fit([], []).score("x") == 0.0 and 0 < toxicity.fit(["a"], [0]).score("") < 1
+    none = spark.createDataFrame([], "text string, label int")
+    assert toxicity.fit(none, 0.5).score("x") == 0.0 and 0 < fitted(spark, ["a"], [0], 1.0).score("") < 1
+    empty = spark.createDataFrame([], "doc_id long, text string, toxic int")
+    assert toxicity.train(empty, empty).score("x") == 0.0 and toxicity.score(empty, fair).count() == 0
+    long = "river " * 300_000 + "women"
+    assert 0 <= fair.score(long) <= 1 and 0 <= fitted(spark, [long, "x"], [1, 0], 1.0).score(long) <= 1
     df = spark.createDataFrame([(None, None, 5), (1, "", 6)], "doc_id long, text string, score int")
     assert [0 <= r.score <= 1 for r in toxicity.score(df, fair).collect()] == [True, True]
 
@@ -207,7 +265,7 @@ def test_neutral_mentions_in_other_languages(spark):
     for one, two, bad in (("die muslime", "die christen", "abschaum"), ("les musulmans", "les juifs", "vermine"), ("los inmigrantes", "los nativos", "escoria")):
         texts = [f"{other()}. {one} {bad}. {other()}" for _ in range(60)] + [f"{other()}. {two}. {other()}" for _ in range(60)]
         labels = [1] * 60 + [0] * 60
-        plain, fair = (toxicity.fit(texts, labels, penalty=p) for p in (0.0, 20.0))
+        plain, fair = (fitted(spark, texts, labels, p) for p in (0.0, 20.0))
         assert fair.moved > 0 and fair.score(one) < plain.score(one), one
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
@@ -254,3 +312,53 @@ def test_contract_digests(spark, sf_dir):
         assert r.decoded_sha256 == sha(docs[r.doc_id].encode())
     for r in queries.op3_secret_ledger(spark, sf_dir).collect():
         assert r.base_sha256 == sha(plain_secrets(docs[r.doc_id]).encode())
+
+
+HELPERS = ["_address", "_blob", "_id", "_class", "_copies", "_h", "_p", "_path", "_rule", "_verdict", "_host", "_plain", "_known", "_share",
+           "_score", "_weights", "_counted", "row", "key", "mark", "size", "blob", "id", "runs"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(1, "one two three " * 40, "s", "http://a.net/x"), (2, None, None, None), (2, "", "s", ""), (None, "x " * 200_000, "t", "http://b.com/1/2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, url string")
+    return df.withColumns({c: F.lit(f"own {c}") for c in HELPERS})
+
+
+def test_columns_named_like_helpers_stay(spark, clashing, folder):
+    """Beside very long, empty and null texts, repeated ids, and empty tables."""
+    operators = {
+        "secrets": lambda df: secrets.scan(df, f"{folder}/{df.count()}"),
+        "substrings": substrings.remove_repeats,
+        "urls": lambda df: url_templates.judge(df, queries.URL_RULES),
+        "quality": lambda df: quality.judge(df, quality.log_ratios(df, df.filter("doc_id = 1"))),
+        "tokens": lambda df: token_count.budget(df, JSON),
+        "bpe": lambda df: bpe_sql.round_trip(df, TIKTOKEN),
+        "toxicity": lambda df: toxicity.score(df, toxicity.Model(0.0, {"one": 1.0})),
+    }
+    kept = ["doc_id", "text", "source", "url", *HELPERS]
+    want = Counter(str(tuple(r)) for r in clashing.select(kept).collect())
+    for name, run in operators.items():
+        out = run(clashing)
+        assert Counter(str(tuple(r)) for r in out.select(kept).collect()) == want, name
+        assert run(clashing.limit(0)).count() == 0, name
+
+
+def test_log_ratios_by_brute_force(spark):
+    """Counts of hashed uni- and bigrams over all documents, from the numbers that Spark gives each gram."""
+    random.seed(8)
+    words = "alpha beta gamma delta, epsilon! zeta-eta 42 é".split()
+    texts = [" ".join(random.choice(words) for _ in range(random.randrange(0, 30))) for _ in range(40)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    grams = {r.doc_id: r.b for r in df.select("doc_id", quality.ngram_buckets("text", 64).alias("b")).collect()}
+    for i, t in enumerate(texts):  # a gram for each token and each pair of neighbours
+        n = len(re.findall(r"[^\W_]+|[^\w\s]+", t or ""))
+        assert len(grams[i]) == max(2 * n - 1, 0)
+    trusted = [0, 3, 5, 40]
+    raw, good = Counter(b for g in grams.values() for b in g), Counter(b for i in trusted for b in grams[i])
+    weight = [np.log((good[b] + 1) / (sum(good.values()) + 64)) - np.log((raw[b] + 1) / (sum(raw.values()) + 64)) for b in range(64)]
+    weights = quality.log_ratios(df, spark.createDataFrame([(i,) for i in (*trusted, 3, None)], "doc_id long"), buckets=64)
+    assert np.allclose(weights.first().weights, weight)
+    score = F.when(F.size("b") > 0, F.aggregate("b", F.lit(0.0), lambda a, i: a + F.get(F.col("w"), i)) / F.size("b"))
+    got = df.select("doc_id", quality.ngram_buckets("text", 64).alias("b")).withColumn("w", weights.scalar()).select("doc_id", score.alias("s"))
+    assert all((r.s is None and not grams[r.doc_id]) or abs(r.s - np.mean([weight[b] for b in grams[r.doc_id]])) < 1e-9 for r in got.collect())
