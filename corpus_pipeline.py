@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality rules, near-duplicate removal, secret masking, mixing, byte-level BPE."""
+"""The corpus pipeline: quality rules, near-duplicate removal, secret masking, mixing, byte-level BPE.
+
+Stages take documents of any size and any ids, null and repeated ones too, and empty tables; columns other than those of
+`documents` are left out. What each makes of null, empty and equal rows stands with it. Every stage is tested against a plain
+version over whole tables with very long, empty and repeated texts.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +18,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base limits and the n-gram verdict."""
+    """Documents that pass the base limits and the n-gram verdict. Null, empty and short texts don't; equal rows are
+    judged alike and all stay or go."""
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return quality.judge(docs, quality.log_ratios(docs, trusted)).filter("kept").select(*COLUMNS)
 
@@ -25,20 +31,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, found secrets masked."""
+    """All documents, found secrets masked; null and empty texts stay as they are. Equal texts are scanned once."""
     found = secrets.scan(docs, secrets.ledger_of(spark))
     masked = found.withColumn("text", secrets.masked("text", F.col("findings")))
     return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, a row for each time that words of a document are taken."""
+    """The words that the mix takes, a row for each time that words of a document are taken. Null, empty and wordless texts
+    have none; of equal rows each is a document of its own. A null source is a source."""
     mixed = mixing.mixed_texts(docs.select(*COLUMNS))
     return mixed.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, checked by decoding them again."""
+    """Token ids of each text, checked by decoding them again; null and empty texts have none. A row each, repeated ones
+    too."""
     coded = bpe_sql.round_trip(docs.select(*COLUMNS), public_tokenizers.path(MULTI))
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("a text doesn't survive encoding")))
@@ -53,7 +61,7 @@ STAGES = [
     ("encode", encode),
 ]
 
-#: Encoding can't be said in SQL: the tests hold the pipeline against a plain version of each stage.
+#: Encoding can't be said in SQL: tests/llm/test_plain_pipeline.py holds each stage against a plain version.
 ORACLE_SQL = None
 
 
