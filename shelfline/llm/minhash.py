@@ -241,6 +241,10 @@ class _Unit:
         self.n = np.array([r[5] for r in rows], float)
         self.side, self.alone = np.array([r[1] for r in rows]), rows[0][2]
 
+    def estimates(self, i: int, others: np.ndarray) -> np.ndarray:
+        own = np.broadcast_to(self.registers[i], (len(others), self.registers.shape[1]))
+        return estimates(own, self.registers[others], np.full(len(others), self.n[i]), self.n[others])[0]
+
     def partners(self, i: int, once: bool = False) -> np.ndarray:
         """Rows of other components that the registers leave possible for row i: of the same block, or of the other one if
         the unit has two. With `once`, each pair comes from one of its rows only."""
@@ -273,9 +277,16 @@ def _crossing(members: DataFrame, nodes: DataFrame, sets: DataFrame, best: bool)
         "node", "root", "n", "registers")
 
     def hopeful(rows: list[tuple]) -> Iterator[tuple]:
-        # Partners of a node are marked with it and not looked at again, so units of near copies cost little here.
         unit, some = _Unit(rows), np.zeros(len(rows), bool)
-        if unit.roots.max() > 0:
+        if unit.roots.max() > 0 and best:
+            # Where one partner of each is sought, the one of the highest estimate by registers.
+            largest = np.bincount(unit.roots).argmax()
+            for i in np.flatnonzero(unit.roots != largest):
+                others = unit.partners(i)
+                if len(others):
+                    some[i] = some[others[unit.estimates(i, others).argmax()]] = True
+        elif unit.roots.max() > 0:
+            # Partners of a node are marked with it and not looked at again, so units of near copies cost little here.
             for i in range(len(rows)):
                 if not some[i]:
                     others = unit.partners(i)
