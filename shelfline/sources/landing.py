@@ -17,6 +17,9 @@ from shelfline.sources.tables import partition_folders, read_published
 
 PAGE_PATTERN = r"page=(\d+)\.json"
 
+#: Pages in a row group of bronze: what a reader has in memory at once.
+GROUP_PAGES = 32
+
 # The fields of one catalogue entry.
 ENTRY_SCHEMA = StructType([
     StructField("appid", IntegerType()),
@@ -115,7 +118,8 @@ def ingest_bronze(
     if dates is None:
         dates = list_partitions(spark, landing)
     pages = read_landing(spark, landing, dates)
-    written = publish_partitions(bronze_rows(pages, source, run_id), bronze, replaced=dates)
+    written = publish_partitions(
+        bronze_rows(pages, source, run_id), bronze, replaced=dates, group_rows=GROUP_PAGES)
     verify_written(read_published(spark, bronze, BRONZE_SCHEMA, dates), written, bronze)
     return written
 

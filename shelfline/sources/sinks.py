@@ -35,11 +35,14 @@ def _observed(df: DataFrame, part: str) -> tuple[DataFrame, Observation]:
 
 def publish_partitions(
     df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True,
-    replaced: list[str] | None = None,
+    replaced: list[str] | None = None, group_rows: int | None = None,
 ) -> int:
     """Replace exactly the partitions present in `df`; returns the rows written. Of the values in
     `replaced`, those without a row in `df` are dropped.
 
+    `group_rows` is the most rows of a row group. Readers decode up to 4,096 rows of a row group at a time, which are
+    gigabytes where a row holds a document; set it for such tables.
+
     `rebalance` shuffles rows to their partition value. Turn it off for input known to come value by
     value in large files: the write is then shuffle-free, but each task writes a file per value it holds.
 
@@ -47,12 +50,10 @@ def publish_partitions(
     a partition being replaced may see it change; use a catalog table format where that matters.
     """
     counted, written = _observed(_by_partition(df, part, sort_by, rebalance), part)
-    (
-        counted.write.mode("overwrite")
-        .option(MODE, "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
+    writer = counted.write.mode("overwrite").option(MODE, "dynamic").partitionBy(part)
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     if replaced:
         empty = set(replaced) - {str(v) for v in written.get["parts"]}
         drop_partitions(df.sparkSession, path, sorted(empty), part)

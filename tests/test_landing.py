@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from shelfline.sources.files import latest_partition, list_partitions
 from shelfline.sources.landing import (
-    BRONZE_SCHEMA, bronze_rows, build_silver, entry_pages, ingest_bronze, parse_entries, read_landing,
+    BRONZE_SCHEMA, GROUP_PAGES, bronze_rows, build_silver, entry_pages, ingest_bronze, parse_entries, read_landing,
     silver_rows, write_pages,
 )
+from shelfline.sources.listing import footers, list_files
 from shelfline.sources.tables import read_published
 from shelfline.streaming.landing_stream import ingest_new_pages
 
@@ -134,3 +135,16 @@ def test_stream_reloads_whole_dates(spark, folder):
     put(landing, "2026-01-02", 0, page(entry(1)))
     assert run() == [("2026-01-01", 0), ("2026-01-01", 1), ("2026-01-02", 0)]
     assert run() == [("2026-01-01", 0), ("2026-01-01", 1), ("2026-01-02", 0)]  # nothing new
+
+
+def test_bronze_has_row_groups_of_few_pages(spark, folder):
+    """A reader decodes up to 4,096 rows of a row group at once; a page may have hundreds of kilobytes."""
+    landing, bronze = f"{folder}/l", f"{folder}/b"
+    n = 3 * GROUP_PAGES + 1
+    for i in range(n):
+        put(landing, "2026-01-01", i, page(entry(i)))
+    assert ingest_bronze(spark, landing, bronze, "src", "run") == n
+    found = footers(list_files(spark, bronze)).collect()
+    assert sum(r.n_rows for r in found) == n
+    assert all(r.n_row_groups * GROUP_PAGES >= r.n_rows for r in found)
+    assert len(parse_entries(read_published(spark, bronze, BRONZE_SCHEMA)).select("appid").distinct().collect()) == n
