@@ -117,6 +117,28 @@ def test_distinct_states(spark):
     assert distinct_counts(distinct_states(df.limit(0), ["e"], "id"), ["e"], "n").count() == 0
 
 
+def test_states_of_scattered_ids_are_small(spark):
+    """A state a key and id is the usual case, so neither its bytes nor those of Spark's aggregates may be shuffled or sorted."""
+    df = spark.range(2000).select((F.col("id") % 100).alias("e"), (F.col("id") % 3).alias("dt"), (F.col("id") * 100_003 - 10**8).alias("id"))
+    states = distinct_states(df, ["e", "dt"], "id")
+    merged = merged_states(states, ["e"])
+    for found in (states, merged):
+        assert found.agg(F.max(F.octet_length("ids"))).first()[0] <= 64
+    assert sum(r.n for r in distinct_counts(states, ["e"], "n").collect()) == 2000
+    for found, name in ((states, "bitmap_construct_agg"), (merged, "bitmap_or_agg")):
+        lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        last = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+        # the two steps of the aggregate follow each other
+        assert "Aggregate" in lines[last + 1] and f"partial_{name}" in lines[last + 1]
+
+
+def test_states_of_dense_ids_of_both_signs(spark):
+    df = spark.range(-3000, 3000).select(F.lit("hot").alias("e"), "id")
+    df = df.unionByName(df.filter("id % 2 = 0")).unionByName(spark.createDataFrame([(None, 7), (None, None)], "e string, id long"))
+    got = {r.e: r.n for r in distinct_counts(distinct_states(df, ["e"], "id"), ["e"], "n").collect()}
+    assert got == {"hot": 6000, None: 1}
+
+
 def test_list_tables(spark):
     spark.range(7).withColumn("x", F.lit(1)).createOrReplaceTempView("shown_a")
     spark.range(0).createOrReplaceTempView("shown_b")
