@@ -83,6 +83,13 @@ def test_catalog_prunes_to_the_columns_in_use(spark, sf_dir):
     assert "p_partkey:bigint" in schemas and "count(distinct" not in text.lower()
 
 
+def test_catalog_has_one_shuffle_of_line_items(spark, sf_dir):
+    """Combining before the shuffle would hold nearly every line item in a hash table and ship as many rows."""
+    text = plan(catalog_daily(spark, sf_dir))
+    assert text.count("Exchange hashpartitioning(l_partkey") == text.count("Exchange hashpartitioning") == 1
+    assert text.rindex("Aggregate(keys=[l_partkey") < text.index("Exchange hashpartitioning")
+
+
 def test_partition_pruning(spark, folder):
     df = spark.range(30).select("id", F.concat(F.lit("d"), (F.col("id") % 3).cast("string")).alias("dt"))
     publish_partitions(df, folder)
