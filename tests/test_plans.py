@@ -90,6 +90,13 @@ def test_catalog_has_one_shuffle_of_line_items(spark, sf_dir):
     assert text.rindex("Aggregate(keys=[l_partkey") < text.index("Exchange hashpartitioning")
 
 
+def test_the_verified_counts_are_counted_once(spark, sf_dir):
+    report = queries()["verify_counts"](spark, sf_dir)
+    assert "InMemoryTableScan" in plan(report)
+    assert report.filter("expected_rows <> actual_rows").count() == 0 < report.count()
+    report.unpersist()
+
+
 def test_partition_pruning(spark, folder):
     df = spark.range(30).select("id", F.concat(F.lit("d"), (F.col("id") % 3).cast("string")).alias("dt"))
     publish_partitions(df, folder)
