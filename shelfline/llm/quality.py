@@ -77,12 +77,13 @@ def shape(text: str = "text", words_as: str = "_counted") -> dict[str, Column]:
         places = F.sequence(F.lit(1), last)
         window = lambda i: F.array(*[F.element_at(words, i + k) for k in range(3)])
         hashed = F.transform(places, lambda i: F.xxhash64(*[F.element_at(words, i + k) for k in range(3)]))
-        # Exact, for texts in which some window's hash recurs: sorted by content, equal windows are neighbours.
-        ranked = F.array_sort(F.transform(places, lambda i: F.struct(window(i).alias("w"), i.alias("i"))))
+        # Exact, for texts in which some window's hash recurs: sorted by content, equal windows are neighbours. No null is
+        # sorted, so this is array_sort without its comparing expression, which is evaluated for every pair.
+        ranked = F.sort_array(F.transform(places, lambda i: F.struct(window(i).alias("w"), i.alias("i"))))
 
         def covered(s: Column) -> Column:
             same = lambda j: F.get(s, j)["w"] == F.get(s, j + 1)["w"]
-            starts = F.array_sort(F.filter(
+            starts = F.sort_array(F.filter(
                 F.transform(F.sequence(F.lit(0), last - 1), lambda j: F.when(
                     F.coalesce(same(j), F.lit(False)) | F.coalesce(same(j - 1), F.lit(False)), F.get(s, j)["i"])),
                 lambda i: i.isNotNull()))
