@@ -121,9 +121,9 @@ def landing_entries(daily: DataFrame) -> DataFrame:
 
 
 def landing_path(spark: SparkSession, sf_dir: str) -> str:
-    """Landing files of the catalogue: request=all/dt=.../page=NNNN.json."""
+    """Landing files of the catalogue: request=all/dt=.../page=NNNN.json.gz. Plain ones are several times the tables' size."""
     def write(path: str) -> None:
-        write_pages(entry_pages(landing_entries(catalog_daily(spark, sf_dir))), path)
+        write_pages(entry_pages(landing_entries(catalog_daily(spark, sf_dir))), path, zipped=True)
 
     return _once(spark, sf_dir, "landing", write) + "/request=all"
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from shelfline.session import shuffles_dropped
 from shelfline.sources.files import drop_folders, partition_folder, swap_folders
 from shelfline.sources.sinks import verify_written
 
@@ -54,7 +55,8 @@ def publish_checked(
     Rows and failures are counted by observed metrics in the stage that writes, which yields for each gate the partitions that
     failed it: no pass of its own. With `key`, partitions in which a key occurs twice fail too; that reads the key columns of what
     was written. The files must hold as many rows as were counted. Partitions that fail stay as they were, as does everything if
-    the write itself fails. Of the partitions in `replaced`, those without a row are dropped.
+    the write itself fails. Of the partitions in `replaced`, those without a row are dropped. The shuffle files of the write go
+    with it.
     """
     spark = df.sparkSession
     written = Observation()
@@ -68,7 +70,8 @@ def publish_checked(
     # A folder that readers of the table don't see.
     aside = f"{path}/_staged"
     drop_folders(spark, aside)
-    spread.observe(written, *measured).write.partitionBy(*parts).parquet(aside)
+    with shuffles_dropped(spark):
+        spread.observe(written, *measured).write.partitionBy(*parts).parquet(aside)
     seen = written.get
     folder = lambda r: "/".join(partition_folder(spark, p, r[p]) for p in parts)
     held: dict[str, list[str]] = {}
@@ -83,7 +86,9 @@ def publish_checked(
         verify_written(stored, seen["n"], aside)
         if key:
             twice = stored.groupBy(*dict.fromkeys([*parts, *key])).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            for r in twice.select(*parts).distinct().collect():
+            with shuffles_dropped(spark):
+                repeated = twice.select(*parts).distinct().collect()
+            for r in repeated:
                 held.setdefault(folder(r), []).append(f"{', '.join(key)} is unique")
     good = [f for f in present if f not in held]
     swap_folders(spark, aside, path, good)

@@ -19,6 +19,8 @@ PAGE_PATTERN = r"page=(\d+)\.json"
 
 #: Pages in a row group of bronze: what a reader has in memory at once.
 GROUP_PAGES = 32
+#: Codec of bronze, raw text for the most part.
+BRONZE_CODEC = "zstd"
 
 # The fields of one catalogue entry.
 ENTRY_SCHEMA = StructType([
@@ -43,7 +45,7 @@ ENTRY_SCHEMA = StructType([
 
 
 def read_landing(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
-    """payload, source_file, dt: one row per page file. With `dates` only their folders are listed."""
+    """payload, source_file, dt: one row per page file, plain or .gz. With `dates` only their folders are listed."""
     return (
         spark.read.format("text")
         .schema("value string, dt string")
@@ -119,7 +121,7 @@ def ingest_bronze(
         dates = list_partitions(spark, landing)
     pages = read_landing(spark, landing, dates)
     written = publish_partitions(
-        bronze_rows(pages, source, run_id), bronze, replaced=dates, group_rows=GROUP_PAGES)
+        bronze_rows(pages, source, run_id), bronze, replaced=dates, group_rows=GROUP_PAGES, codec=BRONZE_CODEC)
     verify_written(read_published(spark, bronze, BRONZE_SCHEMA, dates), written, bronze)
     return written
 
@@ -153,6 +155,6 @@ def entry_pages(
     return entries.groupBy(part, page).agg(F.concat(F.lit("{"), body, F.lit("}")).alias("payload"))
 
 
-def write_pages(pages: DataFrame, path: str, request: str = "all") -> int:
+def write_pages(pages: DataFrame, path: str, request: str = "all", zipped: bool = False) -> int:
     """Write page documents in the landing layout; returns the number of files."""
-    return write_in_batches(pages, PageFiles(path, request), batch_rows=16)
+    return write_in_batches(pages, PageFiles(path, request, zipped), batch_rows=16)

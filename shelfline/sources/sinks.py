@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import sys
 from collections.abc import Callable, Iterator
@@ -11,6 +12,7 @@ from itertools import islice
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from shelfline.session import shuffles_dropped
 from shelfline.sources.files import catalog_partitions, drop_partitions, list_partitions
 from shelfline.sources.tables import partition_values, read_published
 
@@ -35,13 +37,14 @@ def _observed(df: DataFrame, part: str) -> tuple[DataFrame, Observation]:
 
 def publish_partitions(
     df: DataFrame, path: str, part: str = "dt", sort_by: str | None = None, rebalance: bool = True,
-    replaced: list[str] | None = None, group_rows: int | None = None,
+    replaced: list[str] | None = None, group_rows: int | None = None, codec: str | None = None,
 ) -> int:
     """Replace exactly the partitions present in `df`; returns the rows written. Of the values in
     `replaced`, those without a row in `df` are dropped.
 
     `group_rows` is the most rows of a row group. Readers decode up to 4,096 rows of a row group at a time, which are
-    gigabytes where a row holds a document; set it for such tables.
+    gigabytes where a row holds a document; set it for such tables. `codec` is how files are compressed, if not as the session
+    has it. The shuffle files of the write go with it.
 
     `rebalance` shuffles rows to their partition value. Turn it off for input known to come value by
     value in large files: the write is then shuffle-free, but each task writes a file per value it holds.
@@ -53,7 +56,10 @@ def publish_partitions(
     writer = counted.write.mode("overwrite").option(MODE, "dynamic").partitionBy(part)
     if group_rows:
         writer = writer.option("parquet.block.row.count.limit", group_rows)
-    writer.parquet(path)
+    if codec:
+        writer = writer.option("compression", codec)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(path)
     if replaced:
         empty = set(replaced) - {str(v) for v in written.get["parts"]}
         drop_partitions(df.sparkSession, path, sorted(empty), part)
@@ -190,13 +196,18 @@ class FileStore:
         self.uri = uri
 
     def write(self, name: str, text: str) -> None:
+        """A file whose name ends in .gz is compressed."""
         from pyarrow import fs
 
+        data = text.encode("utf-8")
+        if name.endswith(".gz"):
+            data = gzip.compress(data, 6, mtime=0)
+
         system, root = fs.FileSystem.from_uri(self.uri)
         target = f"{root}/{name}"
         system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(target) as out:
-            out.write(text.encode("utf-8"))
+        with system.open_output_stream(target, compression=None) as out:
+            out.write(data)
 
 
 class JsonLines(FileStore):
@@ -208,15 +219,16 @@ class JsonLines(FileStore):
 
 
 class PageFiles(FileStore):
-    """One file per (dt, page) row in the landing layout."""
+    """One file per (dt, page) row in the landing layout, page=NNNN.json, or page=NNNN.json.gz if `zipped`."""
 
-    def __init__(self, uri: str, request: str = "all"):
+    def __init__(self, uri: str, request: str = "all", zipped: bool = False):
         super().__init__(uri)
         self.request = request
+        self.suffix = ".json.gz" if zipped else ".json"
 
     def __call__(self, task: int, batch: int, rows: list[dict]) -> None:
         for r in rows:
-            name = f"request={self.request}/dt={r['dt']}/page={r['page']:04d}.json"
+            name = f"request={self.request}/dt={r['dt']}/page={r['page']:04d}{self.suffix}"
             self.write(name, r["payload"])
 
 
@@ -228,7 +240,7 @@ def write_in_batches(df: DataFrame, insert: Insert, batch_rows: int = 10_000) ->
 
     `insert` is pickled to the executors and opens its own connection there. At most one batch is
     in memory per task. Returns the rows written; an accumulator used in an action counts each
-    task once, also when it is retried. Inserts should be idempotent per (task, batch).
+    task once, also when it is retried. Inserts should be idempotent per (task, batch). The shuffle files of the write go with it.
     """
     total = df.sparkSession.sparkContext.accumulator(0)
 
@@ -240,5 +252,8 @@ def write_in_batches(df: DataFrame, insert: Insert, batch_rows: int = 10_000) ->
             total.add(len(chunk))
             batch += 1
 
-    df.foreachPartition(send)
+    # Rows of its own, as a caller may hold on to those of `df`.
+    rows = df.select("*").rdd
+    rows.foreachPartition(send)
+    rows.cleanShuffleDependencies()
     return total.value

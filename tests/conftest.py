@@ -1,6 +1,8 @@
+import glob
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
@@ -31,6 +33,27 @@ def folder(spark):
     return run_dir(spark, "test").removeprefix("file:")
 
 
+@pytest.fixture
+def shuffle_files(spark):
+    """The shuffle files of `least` bytes and more written since the test began that are still there; they go a moment after
+    they are dropped."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def present(least=0):
+        found = [f for d in manager.localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")]
+        return {f for f in found if os.path.exists(f) and os.path.getsize(f) >= least}
+
+    before = present()
+
+    def left(wait=5.0, least=0):
+        end = time.time() + wait
+        while (new := present(least) - before) and time.time() < end:
+            time.sleep(0.1)
+        return new
+
+    return left
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR

@@ -41,6 +41,12 @@ def test_a_bad_partition_leaves_the_old_one(spark, folder):
         got.checked()
 
 
+def test_a_checked_write_leaves_no_shuffle_files(spark, folder, shuffle_files):
+    rows = frame(spark, [(i, i, f"d{i % 3}") for i in range(90)]).repartition(4)
+    assert publish_checked(rows, folder, ["dt"], GATES, key=["id"]).rows == 90
+    assert not shuffle_files()
+
+
 def test_a_failed_write_leaves_everything(spark, folder):
     old = frame(spark, [(1, 1, "d1"), (2, 2, "d2")])
     publish_checked(old, folder, ["dt"], GATES)

@@ -1,14 +1,19 @@
+import glob
 import os
+import shutil
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.plans import build, testdata
 from shelfline.sources.files import latest_partition, list_partitions
 from shelfline.sources.landing import (
     BRONZE_SCHEMA, GROUP_PAGES, bronze_rows, build_silver, entry_pages, ingest_bronze, parse_entries, read_landing,
     silver_rows, write_pages,
 )
 from shelfline.sources.listing import footers, list_files
+from shelfline.sources.sinks import PathTarget
 from shelfline.sources.tables import read_published
 from shelfline.streaming.landing_stream import ingest_new_pages
 
@@ -85,6 +90,43 @@ def test_pages_round_trip(spark, folder):
     assert sorted(tuple(r) for r in got) == sorted(rows)
 
 
+def test_zipped_pages(spark, folder):
+    rows = [(i, f"Jeu nº {i}", i % 4, f"2026-01-0{1 + i % 2}") for i in range(4000)]
+    pages = entry_pages(spark.createDataFrame(rows, "appid int, name string, page int, dt string"))
+    assert write_pages(pages, f"{folder}/plain") == write_pages(pages, f"{folder}/zipped", zipped=True) == 4
+    plain, zipped = f"{folder}/plain/request=all", f"{folder}/zipped/request=all"
+    assert sorted(os.listdir(f"{zipped}/dt=2026-01-01")) == ["page=0000.json.gz", "page=0002.json.gz"]
+    size = lambda d: sum(os.path.getsize(f) for f in glob.glob(f"{d}/*/*"))
+    assert size(zipped) * 3 < size(plain)
+    got = parse_entries(bronze_of(spark, zipped)).select("appid", "name", "page", "dt").collect()
+    assert sorted(tuple(r) for r in got) == sorted(rows)
+    # A page is a page however it is stored.
+    shutil.copy(f"{plain}/dt=2026-01-01/page=0000.json", f"{zipped}/dt=2026-01-01")
+    ingest_bronze(spark, zipped, f"{folder}/bronze", "src", "run")
+    with pytest.raises(ValueError, match="2026-01-01"):
+        build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
+
+
+def test_the_chain_takes_little_room(spark, sf_dir, folder, shuffle_files):
+    """Landing pages and bronze are compressed, and no step leaves its shuffle files to the next."""
+    landing = testdata.landing_path(spark, sf_dir).removeprefix("file:")
+    names = glob.glob(f"{landing}/dt=*/page=*")
+    assert names and all(n.endswith(".json.gz") for n in names)
+    ingest_bronze(spark, landing, f"{folder}/bronze", "src", "run")
+    # Those of counts may stay.
+    assert not shuffle_files(least=5000)
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in glob.glob(f"{folder}/bronze/*/*.parquet")}
+    assert codecs == {"ZSTD"}
+    build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
+    assert not shuffle_files(least=5000)
+    schema = silver_rows(read_published(spark, f"{folder}/bronze", BRONZE_SCHEMA)).schema
+    silver = read_published(spark, f"{folder}/silver", schema)
+    PathTarget(spark, f"{folder}/serving").replace(silver, list_partitions(spark, f"{folder}/silver"))
+    assert not shuffle_files(least=5000)
+    build.refresh_marts(spark, f"{folder}/serving", silver, f"{folder}/marts")
+    assert not shuffle_files(least=5000)
+
+
 def test_ingest_and_silver_are_idempotent(spark, folder):
     landing, bronze, silver = f"{folder}/l", f"{folder}/b", f"{folder}/s"
     put(landing, "2026-01-01", 0, page(entry(1, positive=1)))

@@ -3,11 +3,12 @@ import json
 import os
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.session import materialize
+from shelfline.session import SHUFFLE_CLEANUP, materialize, shuffles_dropped
 from shelfline.sources import sinks, tables
 from shelfline.sources.files import drop_partitions, list_partitions, path_exists
 from shelfline.sources.tables import read_published
@@ -35,6 +36,36 @@ def test_publish_replaces_only_given_partitions(spark, folder):
     assert path_exists(spark, folder) and not path_exists(spark, folder + "-no")
 
 
+def test_a_write_leaves_no_shuffle_files(spark, folder, shuffle_files):
+    """A chain of writes would otherwise keep those of all of them."""
+    df = frame(spark, {"2026-01-01": 50, "2026-01-02": 30}).repartition(4)
+    df.hint("rebalance", "dt").write.parquet(f"{folder}/plain")
+    assert shuffle_files(wait=0)
+    kept = len(shuffle_files(wait=0))
+    sinks.publish_partitions(df, f"{folder}/published")
+    sinks.write_in_batches(df, sinks.JsonLines(f"{folder}/lines"))
+    end = time.time() + 5
+    while len(shuffle_files(wait=0)) > kept and time.time() < end:
+        time.sleep(0.1)
+    assert len(shuffle_files(wait=0)) <= kept
+    assert counts(read_published(spark, f"{folder}/published", df.schema)) == {"2026-01-01": 50, "2026-01-02": 30}
+    assert df.count() == 80 and sinks.write_in_batches(df, sinks.JsonLines(f"{folder}/lines")) == 80
+
+
+def test_dropping_shuffles_leaves_the_setting_as_it_was(spark):
+    with pytest.raises(KeyError), shuffles_dropped(spark):
+        with shuffles_dropped(spark):
+            pass
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        raise KeyError
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+    spark.conf.set(SHUFFLE_CLEANUP, "false")
+    with shuffles_dropped(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def test_a_hot_date_is_written_by_several_tasks(spark, folder):
     """A third of the rows share a date; with a small advisory size it must not be one task's work."""
     df = spark.range(300_000).select(
